@@ -136,9 +136,10 @@ def cast_columns(df: DataFrame, targets: Mapping[str, str]) -> DataFrame:
     for name, target in targets.items():
         spark_type, required = ARRAY_TYPES.get(target, (target, False))
         casts[name] = cleaning.strict_cast(F.col(name), df.schema[name].dataType, spark_type, required=required)
-    return df.withColumns(casts)
+    return df.withColumns(casts) if casts else df
 
 
 def to_timestamps(df: DataFrame, columns: Iterable[str], **how) -> DataFrame:
     """Parse columns as timestamps; see :func:`listrata.functions.times.parse_time`."""
-    return df.withColumns({c: times.parse_time(F.col(c), **how) for c in columns})
+    parsed = {c: times.parse_time(F.col(c), **how) for c in columns}
+    return df.withColumns(parsed) if parsed else df
