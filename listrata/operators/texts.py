@@ -72,6 +72,7 @@ def add_polarity(
 
 def count_items(df: DataFrame, list_column: str, item: str = "adjective", limit: int | None = None) -> DataFrame:
     """Frequency of the trimmed items of a comma list, most frequent first; null lists count nothing."""
-    items = df.select(F.trim(F.explode(split_list(F.col(list_column))), F.lit(" \t\n\x0b\x0c\r")).alias(item))
+    items = df.select(F.explode(split_list(F.col(list_column))).alias(item))
+    items = items.select(F.trim(item, F.lit(" \t\n\x0b\x0c\r")).alias(item))
     counted = items.groupBy(item).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), item)
     return counted.limit(limit) if limit is not None else counted
