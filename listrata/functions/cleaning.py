@@ -63,7 +63,7 @@ def strict_cast(col: Column, data_type: T.DataType, target: str, *, required: bo
     result = present.cast(target)
     if not required:
         return result
-    return F.when(present.isNull(), F.raise_error(F.lit("missing value in a required number"))).otherwise(result)
+    return F.coalesce(result, F.raise_error(F.lit("missing value in a required number")))
 
 
 def flag_number(col: Column, data_type: T.DataType) -> Column:

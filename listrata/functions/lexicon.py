@@ -208,7 +208,9 @@ def compound(text: Column, valence: Lookup) -> Column:
 
 def sentiment(score: Column) -> Column:
     """The label of a compound score."""
-    return F.when(score >= POLAR, "Positive").when(score <= -POLAR, "Negative").otherwise("Neutral")
+    return let(
+        score, lambda s: F.when(s >= POLAR, "Positive").when(s <= -POLAR, "Negative").otherwise("Neutral")
+    )
 
 
 def plain_words(text: Column) -> Column:

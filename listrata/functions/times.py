@@ -47,8 +47,8 @@ def parse_time(
         parsed = F.coalesce(col.try_cast("timestamp"), parse_first(col, DATE_FORMATS))
     if not strict:
         return parsed
-    complaint = F.concat(F.lit("not a date: "), col.cast("string"))
-    return F.when(col.isNotNull() & parsed.isNull(), F.raise_error(complaint)).otherwise(parsed)
+    complaint = F.raise_error(F.concat(F.lit("not a date: "), col.cast("string")))
+    return F.coalesce(parsed, F.when(col.isNotNull(), complaint))
 
 
 def whole_days(earlier: Column, later: Column) -> Column:

@@ -31,23 +31,31 @@ def _value(df: DataFrame, name: str) -> Column:
     return missing_as_null(F.col(name), df.schema[name].dataType)
 
 
-def bounds(df: DataFrame, **values: Column) -> Column:
-    """Least and greatest value of several expressions over the whole frame, from one aggregate.
+_BOUNDS = "_bounds"
 
-    The result is a one-row subquery with the fields ``<name>_low`` and ``<name>_high``; it is
-    run once and reaches the tasks as a constant, without a join.
+
+def with_bounds(df: DataFrame, **values: Column) -> DataFrame:
+    """Add the least and greatest value of several expressions over the whole frame.
+
+    They come from one aggregate as the struct ``_bounds`` with the fields ``<name>_low`` and
+    ``<name>_high``: a one-row subquery that is run once and reaches the tasks as a constant,
+    without a join.
     """
     ends = []
     for name, value in values.items():
         ends += [F.min(value).alias(f"{name}_low"), F.max(value).alias(f"{name}_high")]
-    return df.agg(F.struct(*ends).alias("bounds")).scalar()
+    return df.withColumn(_BOUNDS, df.agg(F.struct(*ends).alias("ends")).scalar())
+
+
+def _scaled(value: Column, name: str, *, guarded: bool) -> Column:
+    ends = F.col(_BOUNDS)
+    return measures.min_max(value, ends[f"{name}_low"], ends[f"{name}_high"], guarded=guarded)
 
 
 def min_max_log(df: DataFrame, column: str, output: str, *, guarded: bool = False) -> DataFrame:
     """Add the log of a count, scaled to 0..1 over the whole frame."""
     log = measures.log1p(_value(df, column))
-    ends = bounds(df, x=log)
-    return df.withColumn(output, measures.min_max(log, ends["x_low"], ends["x_high"], guarded=guarded))
+    return with_bounds(df, x=log).withColumn(output, _scaled(log, "x", guarded=guarded)).drop(_BOUNDS)
 
 
 def recency(df: DataFrame, column: str, *, decay: float = 0.001) -> DataFrame:
@@ -66,14 +74,13 @@ def company_score(
     if only_features:
         df = project(df, COMPANY_FEATURES)
     logs = {"reviews": measures.log1p(_value(df, "reviews")), "photos": measures.log1p(_value(df, "photos_count"))}
-    ends = bounds(df, **logs)
-    scored = df.withColumns(
+    scored = with_bounds(df, **logs).withColumns(
         {
             "S1": measures.rating_unit(_value(df, "rating")),
             "log_reviews": logs["reviews"],
-            "S2": measures.min_max(logs["reviews"], ends["reviews_low"], ends["reviews_high"], guarded=True),
+            "S2": _scaled(logs["reviews"], "reviews", guarded=True),
             "log_photos": logs["photos"],
-            "S3": measures.min_max(logs["photos"], ends["photos_low"], ends["photos_high"], guarded=True),
+            "S3": _scaled(logs["photos"], "photos", guarded=True),
         }
     ).withColumn(
         "company_profile_score",
@@ -81,7 +88,7 @@ def company_score(
     )
     if not keep_parts:
         scored = scored.drop("S1", "S2", "S3", "log_reviews", "log_photos")
-    return stamp(scored, run_time or datetime.now())
+    return stamp(scored.drop(_BOUNDS), run_time or datetime.now())
 
 
 def review_score(
@@ -99,15 +106,14 @@ def review_score(
     if only_features:
         df = project(df, REVIEW_FEATURES)
     log = measures.log1p(_value(df, "review_likes"))
-    ends = bounds(df, likes=log)
     mood = F.lit(OTHER_SENTIMENT)
     for label, value in SENTIMENT_VALUES.items():
         mood = F.when(F.col("sentiment") == label, value).otherwise(mood)
-    scored = recency(df, "review_timestamp", decay=decay).withColumns(
+    scored = recency(with_bounds(df, likes=log), "review_timestamp", decay=decay).withColumns(
         {
             "S1": measures.rating_unit(_value(df, "review_rating")),
             "log_likes": log,
-            "L": measures.min_max(log, ends["likes_low"], ends["likes_high"], guarded=False),
+            "L": _scaled(log, "likes", guarded=False),
             "S2": mood,
         }
     )
@@ -122,7 +128,7 @@ def review_score(
     scored = scored.withColumn("user_review_score", measures.half_even(F.col("W") * total, 2))
     if not keep_parts:
         scored = scored.drop("S1", "S2", "S3", "L", "log_likes", "delta_t", "W")
-    return stamp(scored, run_time or datetime.now())
+    return stamp(scored.drop(_BOUNDS), run_time or datetime.now())
 
 
 def scored_only(df: DataFrame, score: str) -> DataFrame:
