@@ -22,6 +22,6 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -1,0 +1,107 @@
+"""Sentiment against the values published with the rating, and both ways of looking words up."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from listrata.functions import lexicon
+from listrata.operators import texts
+
+VALENCES = [
+    ("smart", 1.7), ("handsome", 2.2), ("funny", 1.9), ("good", 1.9), ("great", 3.1), ("horrible", -2.5),
+    ("sux", -1.5), ("lol", 1.8), ("bad", -2.5), ("catch", 0.05), ("uncompelling", -0.9),
+]
+
+# Compound scores that the authors of the rating print for these sentences.
+PUBLISHED = [
+    ("VADER is smart, handsome, and funny.", 0.8316),
+    ("VADER is smart, handsome, and funny!", 0.8439),
+    ("VADER is very smart, handsome, and funny.", 0.8545),
+    ("VADER is VERY SMART, handsome, and FUNNY.", 0.9227),
+    ("VADER is VERY SMART, handsome, and FUNNY!!!", 0.9342),
+    ("VADER is VERY SMART, uber handsome, and FRIGGIN FUNNY!!!", 0.9469),
+    ("VADER is not smart, handsome, nor funny.", -0.7424),
+    ("The book was good.", 0.4404),
+    ("At least it isn't a horrible book.", 0.431),
+    ("The plot was good, but the characters are uncompelling and the dialog is not great.", -0.7042),
+    ("Today SUX!", -0.5461),
+]
+
+
+@pytest.fixture(scope="module")
+def words(spark):
+    return spark.createDataFrame(VALENCES, "word string, valence double")
+
+
+def compounds(spark, words, items):
+    df = spark.createDataFrame(list(enumerate(items)), "k int, text string")
+    find = lexicon.constant_lookup(lexicon.word_table(words, "word", "valence"))
+    return [r[0] for r in df.orderBy("k").select(lexicon.compound(F.col("text"), find)).collect()]
+
+
+def test_published_scores(spark, words):
+    expected = PUBLISHED
+    got = compounds(spark, words, [text for text, _ in expected])
+    for (text, score), value in zip(expected, got):
+        assert value == pytest.approx(score, abs=1e-4), text
+
+
+def test_no_words(spark, words):
+    assert compounds(spark, words, [None, "", "   ", "nothing known here!!!"]) == [0.0, 0.0, 0.0, 0.0]
+
+
+def test_negation_reach(spark, words):
+    near, far, out = compounds(spark, words, ["not a b good", "not a b c good", "not good"])
+    assert near < 0 and far > 0 and out < 0
+
+
+def test_tokens_keep_emoticons_and_strip_marks(spark):
+    df = spark.createDataFrame([('(good) :) "a," don\'t!! -- x y zzz.',)], "t string")
+    assert df.select(lexicon.tokens(F.col("t"))).first()[0] == [
+        "good", ":)", '"a,"', "don't", "--", "x", "y", "zzz",
+    ]
+
+
+def test_labels(spark, words):
+    df = spark.createDataFrame([(1, "good"), (2, "bad"), (3, "catch"), (4, None)], "k int, text string")
+    got = [r.sentiment for r in texts.add_sentiment(df, "text", words).orderBy("k").collect()]
+    assert got == ["Positive", "Negative", "Neutral", "Neutral"]
+
+
+def test_joined_lookup_equals_constant(spark, words):
+    items = [(i, t) for i, (t, _) in enumerate(PUBLISHED)] + [(90, None), (91, ""), (92, "Good GOOD good bad")]
+    df = spark.createDataFrame(items, "k int, text string")
+    constant = texts.add_sentiment(df, "text", words).orderBy("k").collect()
+    joined = texts.add_sentiment(df, "text", words, key="k", max_words=3).orderBy("k").collect()
+    assert joined == constant
+    tags = words.select("word", F.lit("JJ").alias("tag"))
+    constant = texts.add_adjectives(df, "text", tags).orderBy("k").collect()
+    joined = texts.add_adjectives(df, "text", tags, key=["k"], max_words=3).orderBy("k").collect()
+    assert joined == constant
+    with pytest.raises(ValueError, match="key"):
+        texts.add_sentiment(df, "text", words, max_words=3)
+
+
+def test_adjectives_keep_order_and_case(spark):
+    tags = spark.createDataFrame([("good", "JJ"), ("best", "JJS"), ("run", "VB")], "word string, tag string")
+    df = spark.createDataFrame([("Best run, a GOOD run; best.",), (None,)], "text string")
+    assert [r.adjectives for r in texts.add_adjectives(df, "text", tags).collect()] == ["Best,GOOD,best", ""]
+
+
+def test_polarity(spark, words):
+    items = ["good,bad", "good", "catch", "plain", "", None, " GOOD ,catch", "very,good"]
+    df = spark.createDataFrame(list(enumerate(items)), "k int, a string")
+    got = [r.polarity for r in texts.add_polarity(df, "a", words).orderBy("k").collect()]
+    weak = round(0.05 / (0.0025 + 15) ** 0.5, 4)
+    assert got == [0.0, 1.0, weak, None, None, None, pytest.approx((1 + weak) / 2), 1.0]
+
+
+def test_empty_word_table(spark):
+    empty = spark.createDataFrame([], "word string, valence double")
+    df = spark.createDataFrame([(1, "good")], "k int, text string")
+    assert texts.add_sentiment(df, "text", empty).first().sentiment == "Neutral"
+
+
+def test_word_table_is_a_constant(spark, words):
+    df = spark.createDataFrame([(1, "good")], "k int, text string").repartition(2)
+    plan = texts.add_sentiment(df, "text", words)._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "Join" not in plan
