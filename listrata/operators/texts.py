@@ -12,6 +12,9 @@ from listrata.functions.extraction import split_list
 
 _FOUND = "_found"
 
+# A word is spread over so many groups in a join, because some words are in every text.
+SALTS = 16
+
 
 def with_lookup(
     df: DataFrame, items: Column, words: DataFrame, value: str, *, key: str | Sequence[str] | None = None,
@@ -31,10 +34,13 @@ def with_lookup(
         raise ValueError(f"a table of more than {max_words} words needs the key of the rows")
     keys = [key] if isinstance(key, str) else list(key)
     places = df.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys], F.posexplode(items).alias("_place", "_word")
-    ).withColumn("_word", F.lower("_word"))
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int").alias("_salt"),
+        F.posexplode(items).alias("_place", "_word"),
+    ).withColumn("w", F.lower("_word"))
+    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     found = (
-        places.join(table, F.col("_word") == F.col("w"), "left")
+        places.join(salted, ["w", "_salt"], "left")
         .groupBy(*[f"_key_{k}" for k in keys])
         .agg(F.array_sort(F.collect_list(F.struct("_place", "v"))).alias(_FOUND))
     )

@@ -102,10 +102,10 @@ def top_adjectives(
 ) -> DataFrame:
     """Most frequent adjectives over the distinct adjective lists of the best reviewed companies.
 
-    The few companies are sent to the reviews, which are neither shuffled nor sorted.
+    As the companies are few, Spark sends them to the reviews, which are not shuffled.
     """
     best = top_reviewed_companies(profiles, scores, review_scores, types=types, limit=companies)
-    lists = reviews.join(F.broadcast(best.select("google_id")), "google_id", "left_semi")
+    lists = reviews.join(best.select("google_id"), "google_id", "left_semi")
     return count_items(lists.select("adjectives").distinct(), "adjectives", limit=limit)
 
 

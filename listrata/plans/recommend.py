@@ -50,7 +50,7 @@ def nearby(
     )
     order = [F.col("distance").asc_nulls_last(), F.desc("company_score"), F.col("google_id")]
     best = add_distance(scored, latitude, longitude).orderBy(*order).limit(limit)
-    theirs = review_scores.join(F.broadcast(best.select("google_id")), "google_id", "left_semi")
+    theirs = review_scores.join(best.select("google_id"), "google_id", "left_semi")
     return best.join(mean_review_score(theirs), "google_id", "left").orderBy(*order)
 
 
@@ -61,7 +61,7 @@ def best_reviews(
     """The best scored reviews of some companies: a list of keys, or a short frame with them."""
     def theirs(df: DataFrame) -> DataFrame:
         if isinstance(companies, DataFrame):
-            return df.join(F.broadcast(companies.select("google_id")), "google_id", "left_semi")
+            return df.join(companies.select("google_id"), "google_id", "left_semi")
         return where_in(df, google_id=list(companies))
 
     key = ["google_id", "review_id"]
