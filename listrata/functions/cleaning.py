@@ -10,8 +10,8 @@ FLOATING = (T.FloatType, T.DoubleType)
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 # Texts that stand for the two truth values.
-TRUE_TEXTS = ("True", "true")
-FALSE_TEXTS = ("False", "false")
+TRUE_TEXTS = ("True", "true", "TRUE")
+FALSE_TEXTS = ("False", "false", "FALSE")
 
 # A decimal number, blanks allowed around it; no type suffix, thousands sign or hexadecimal.
 NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
@@ -51,6 +51,12 @@ def raw_id(col: Column) -> Column:
     return F.regexp_replace(col, r"^([+-]?\d+)\.0*$", "$1")
 
 
+def _or_raise(result: Column, value: Column, complaint: str) -> Column:
+    """The result of a lenient cast, raising where it lost a value; the same with and without ANSI mode."""
+    message = F.concat(F.lit(f"{complaint}: "), value.cast("string"))
+    return F.coalesce(result, F.when(value.isNotNull(), F.raise_error(message)))
+
+
 def strict_cast(col: Column, data_type: T.DataType, target: str, *, required: bool = False) -> Column:
     """Cast that raises on text which is no number; fractions are cut off for whole targets.
 
@@ -58,20 +64,21 @@ def strict_cast(col: Column, data_type: T.DataType, target: str, *, required: bo
     """
     whole = target in ("tinyint", "smallint", "int", "bigint")
     present = missing_as_null(col, data_type)
-    if whole and isinstance(data_type, T.StringType):
-        present = present.cast("decimal(38,10)")
-    result = present.cast(target)
-    if not required:
-        return result
-    return F.coalesce(result, F.raise_error(F.lit("missing value in a required number")))
+    number = present.try_cast("decimal(38,10)") if whole and isinstance(data_type, T.StringType) else present
+    result = _or_raise(number.try_cast(target), present, f"not of type {target}")
+    return F.coalesce(result, F.raise_error(F.lit("missing value in a required number"))) if required else result
 
 
 def flag_number(col: Column, data_type: T.DataType) -> Column:
     """Truth value, or text of one, as 1 or 0; missing is 0; numbers stay; other text raises."""
+    if isinstance(data_type, T.BooleanType):
+        return F.coalesce(col, F.lit(False)).cast("int")
     if isinstance(data_type, T.StringType):
         number = F.when(col.isin(*TRUE_TEXTS), "1").when(col.isin(*FALSE_TEXTS), "0").otherwise(col)
-        return F.coalesce(number, F.lit("0")).cast("decimal(38,10)").cast("int")
-    return fill_missing(col, data_type, 0 if not isinstance(data_type, T.BooleanType) else False).cast("int")
+        filled = F.coalesce(number, F.lit("0"))
+        return _or_raise(filled.try_cast("decimal(38,10)").try_cast("int"), filled, "neither truth value nor number")
+    filled = fill_missing(col, data_type, 0)
+    return _or_raise(filled.try_cast("int"), filled, "too large for a flag")
 
 
 def flag_text(

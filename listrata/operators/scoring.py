@@ -58,13 +58,16 @@ def min_max_log(df: DataFrame, column: str, output: str, *, guarded: bool = Fals
     return with_bounds(df, x=log).withColumn(output, _scaled(log, "x", guarded=guarded)).drop(_BOUNDS)
 
 
-def recency(df: DataFrame, column: str, *, decay: float = 0.001) -> DataFrame:
-    """Add ``delta_t``, whole days before the newest row, and the weight ``W`` that falls with it."""
-    newest = df.agg(F.max(column)).scalar()
+def _aged(df: DataFrame, column: str, newest: Column, decay: float) -> DataFrame:
     aged = df.withColumn("delta_t", whole_days(F.col(column), newest))
     return aged.withColumn("W", measures.recency_weight(F.col("delta_t"), decay))
 
 
+def recency(df: DataFrame, column: str, *, decay: float = 0.001) -> DataFrame:
+    """Add ``delta_t``, whole days before the newest row, and the weight ``W`` that falls with it."""
+    return _aged(df, column, df.agg(F.max(column)).scalar(), decay)
+
+
 def company_score(
     df: DataFrame, *, weights: Mapping[str, float] | None = None, only_features: bool = False,
     keep_parts: bool = False, run_time: datetime | None = None,
@@ -109,7 +112,8 @@ def review_score(
     mood = F.lit(OTHER_SENTIMENT)
     for label, value in SENTIMENT_VALUES.items():
         mood = F.when(F.col("sentiment") == label, value).otherwise(mood)
-    scored = recency(with_bounds(df, likes=log), "review_timestamp", decay=decay).withColumns(
+    bounded = with_bounds(df, likes=log, time=F.col("review_timestamp"))
+    scored = _aged(bounded, "review_timestamp", F.col(_BOUNDS)["time_high"], decay).withColumns(
         {
             "S1": measures.rating_unit(_value(df, "review_rating")),
             "log_likes": log,

@@ -17,11 +17,26 @@ NA_TEXTS = (
 )
 
 
+def quote_escape(spark: SparkSession, path: str | Sequence[str]) -> str:
+    """The sign that files put before a quote inside a quoted field, found by one pass over their lines.
+
+    Doubled quotes are told from an empty field by what surrounds them. Files that use both
+    ways are refused, as no reader option covers them.
+    """
+    lines = spark.read.text([path] if isinstance(path, str) else list(path))
+    backslash = F.col("value").rlike(r'(?<!\\)(\\\\)*\\"')
+    doubled = F.col("value").rlike(r'(?<!^)(?<![,\\])""|(?<!\\)""(?!,|$)')
+    found = lines.agg(F.max(backslash).alias("backslash"), F.max(doubled).alias("doubled")).first()
+    if found["backslash"] and found["doubled"]:
+        raise ValueError(f"quotes are written both doubled and with a backslash: {path}")
+    return "\\" if found["backslash"] else '"'
+
+
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
     *,
-    escape: str = '"',
+    escape: str | None = '"',
     multi_line: bool = True,
     na_texts: Sequence[str] = NA_TEXTS,
     row_order: bool = False,
@@ -31,14 +46,14 @@ def read_csv(
 
     Columns are taken by header name, so their order in the file does not matter.
     ``escape`` is the sign before a quote inside a quoted field: the quote itself
-    (``""``) or a backslash. A file that holds line breaks inside quotes needs
+    (``""``), a backslash, or ``None`` to find out by :func:`quote_escape`. A file that holds line breaks inside quotes needs
     ``multi_line``, and is then read by one task per file; pass ``False`` for
     files known to hold none, so that large ones are split. ``row_order`` adds
     ``_row_order``, which grows along a file.
     """
     paths = [path] if isinstance(path, str) else list(path)
     raw = (
-        spark.read.options(header=True, escape=escape, multiLine=multi_line, inferSchema=False)
+        spark.read.options(header=True, escape=escape or quote_escape(spark, paths), multiLine=multi_line, inferSchema=False)
         .options(**options)
         .csv(paths)
     )

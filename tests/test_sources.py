@@ -20,6 +20,25 @@ def test_csv_roundtrip(spark, tmp_path, escape):
     assert got == {k: (v if v not in ("", "NA") else None) for k, v in TRICKY}
 
 
+def test_quote_styles(spark, tmp_path):
+    texts = {
+        "doubled": ('a,b\n"x ""y"" z",""\n,"p"\n', '"'),
+        "start": ('a,b\n1,"""y"" z"\n', '"'),
+        "plain": ('a,b\n"",2\n1,""\n', '"'),
+        "backslash": ('a,b\n"x \\"y\\" z",""\n', "\\"),
+        "backslash at the end": ('a,b\n"x \\"y\\"","\\"z\\""\n', "\\"),
+        "path": ('a,b\n"c:\\\\x\\\\",""\n', '"'),
+    }
+    for name, (text, escape) in texts.items():
+        (tmp_path / name).write_text(text)
+        assert files.quote_escape(spark, str(tmp_path / name)) == escape, name
+    (tmp_path / "both").write_text('a\n"x ""y"" z"\n"x \\"y\\" z"\n')
+    with pytest.raises(ValueError, match="both"):
+        files.read_csv(spark, str(tmp_path / "both"), escape=None)
+    for name in ("doubled", "backslash"):
+        assert 'x "y" z' in {r.a for r in files.read_csv(spark, str(tmp_path / name), escape=None).collect()}
+
+
 def test_csv_by_header_name_and_row_order(spark, tmp_path):
     (tmp_path / "a.csv").write_text('b,a\nx,1\ny,2\nNaN,3\n')
     df = files.read_csv(spark, str(tmp_path / "a.csv"), row_order=True)
