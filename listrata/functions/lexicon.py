@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,11 +104,16 @@ def constant_lookup(table: DataFrame, max_words: int = MAX_WORDS) -> Lookup | No
     return find
 
 
-def tokens(text: Column) -> Column:
+def _split(text: Column) -> Column:
     """Words as the published rating splits them: at white space, marks stripped from longer words."""
     return F.filter(F.split(F.regexp_replace(text, MARKED_WORD, "$1"), f"[{SPACE}]+"), lambda t: t != "")
 
 
+def tokens(text: Column) -> Column:
+    """The words of a text in lower case."""
+    return F.transform(_split(text), F.lower)
+
+
 def _boost(word: Column) -> Column:
     return F.when(word.isin(*STRONGER), BOOST).when(word.isin(*WEAKER), -BOOST)
 
@@ -119,40 +126,42 @@ def _modifies(word: Column) -> Column:
     return word.isin(*NEGATIONS, *STRONGER, *WEAKER) | F.contains(word, F.lit("n't"))
 
 
-def _rated(words: Column, shouting: Column, but: Column) -> Callable[[Column, Column], Column]:
-    """Valence of the word at a position after its capitals, the three words before it and "but"."""
+def _rated(text: Column, valences: Column, loud: Column, but: Column) -> Callable[[Column], Column]:
+    """Valence of the word at a position after its capitals, the three words before it and "but".
+
+    ``text`` has the lists ``words``, in lower case, and ``parts``, as written; ``loud`` says
+    whether capitals count.
+    """
+
+    def word(i: Column) -> Column:
+        return F.get(text["words"], i)
 
-    def rate(item: Column, i: Column) -> Column:
-        def before(k: int) -> Column:
-            return F.get(words, i - k)
+    def capitals(i: Column) -> Column:
+        part = F.get(text["parts"], i)
+        return F.when(loud & (part != word(i)) & (part == F.upper(part)), CAPITALS).otherwise(0.0)
 
-        v = item["v"]
-        alone = v + F.when(shouting & item["up"], F.signum(v) * CAPITALS).otherwise(0.0)
-        modified = F.lit(False)
-        for k in range(1, len(BOOST_BY_DISTANCE) + 1):
-            modified = modified | F.coalesce(_modifies(before(k)["w"]), F.lit(False))
-        loud = alone
+    def rate(i: Column) -> Column:
+        v = F.get(valences, i)
+        alone = v + F.signum(v) * capitals(i)
+        modified, rated = F.lit(False), alone
         for k, damping in enumerate(BOOST_BY_DISTANCE, start=1):
-            prior = before(k)
-            shout = F.when(shouting & prior["up"], CAPITALS).otherwise(0.0)
-            boost = _boost(prior["w"]) * F.signum(v) + F.signum(v) * shout
-            neutral = prior.isNotNull() & prior["v"].isNull()
-            boosted = loud + F.when(neutral, F.coalesce(boost * damping, F.lit(0.0))).otherwise(0.0)
-            turn = F.when(_negates(prior["w"]), NEGATED).otherwise(1.0)
+            prior = word(i - k)
+            modified = modified | F.coalesce(_modifies(prior), F.lit(False))
+            boost = F.coalesce((_boost(prior) + capitals(i - k)) * F.signum(v) * damping, F.lit(0.0))
+            turn = F.when(_negates(prior), NEGATED).otherwise(1.0)
             if k > 1:
-                never = (prior["w"] == "never") & F.coalesce(before(k - 1)["w"].isin("so", "this"), F.lit(False))
-                if k == 3:
-                    never = (prior["w"] == "never") & F.coalesce(
-                        before(2)["w"].isin("so", "this") | before(1)["w"].isin("so", "this"), F.lit(False)
-                    )
-                no_doubt = (prior["w"] == "without") & F.coalesce(
-                    (before(k - 1)["w"] == "doubt") | (before(1)["w"] == "doubt"), F.lit(False)
+                between = [word(i - j) for j in range(1, k)]
+                so = [F.coalesce(w.isin("so", "this"), F.lit(False)) for w in between]
+                doubt = [F.coalesce(w == "doubt", F.lit(False)) for w in between]
+                turn = (
+                    F.when((prior == "never") & reduce(or_, so), NEVER_SO)
+                    .when((prior == "without") & reduce(or_, doubt), 1.0)
+                    .otherwise(turn)
                 )
-                turn = F.when(never, NEVER_SO).when(no_doubt, 1.0).otherwise(turn)
-            loud = boosted * F.when(neutral, turn).otherwise(1.0)
+            neutral = prior.isNotNull() & F.get(valences, i - k).isNull()
+            rated = F.when(neutral, (rated + boost) * turn).otherwise(rated)
         weight = F.when(but == 0, 1.0).when(i < but - 1, BEFORE_BUT).when(i > but - 1, AFTER_BUT).otherwise(1.0)
-        rated = F.when(modified, loud).otherwise(alone)
-        return F.when(v.isNull() | _boost(item["w"]).isNotNull(), 0.0).otherwise(rated * weight)
+        return F.when(_boost(word(i)).isNotNull(), 0.0).otherwise(F.when(modified, rated).otherwise(alone) * weight)
 
     return rate
 
@@ -178,30 +187,32 @@ def compound(text: Column, valence: Lookup) -> Column:
     negations up to three words before, capitals, "but", exclamation and question marks.
     """
 
-    def whole(words: Column) -> Column:
-        loud = F.size(F.filter(words, lambda x: x["up"]))
-        shouting = (loud > 0) & (loud < F.size(words))
-        but = F.coalesce(F.array_position(F.transform(words, lambda x: x["w"]), "but"), F.lit(0))
-        rated = let(
-            F.struct(shouting.alias("shouting"), but.alias("but")),
-            lambda c: F.transform(words, _rated(words, c["shouting"], c["but"])),
+    def total(t: Column, valences: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(valences))
+        hits = F.filter(places, lambda i: F.get(valences, i).isNotNull())
+        shouted = F.size(
+            F.filter(t["parts"], lambda p, i: (p != F.get(t["words"], i)) & (p == F.upper(p)))
         )
-        return F.aggregate(rated, F.lit(0.0), lambda a, b: a + b)
-
-    def mark(token: Column, i: Column) -> Column:
-        return let(
-            F.lower(token),
-            lambda w: F.struct(
-                w.alias("w"),
-                valence(w, i).cast("double").alias("v"),
-                ((token != w) & (token == F.upper(token))).alias("up"),
-            ),
+        context = F.struct(
+            ((shouted > 0) & (shouted < F.size(valences))).alias("loud"),
+            F.coalesce(F.array_position(t["words"], "but"), F.lit(0)).alias("but"),
         )
 
-    marked = F.transform(tokens(text), mark)
-    total = F.coalesce(let(marked, whole), F.lit(0.0))
+        def added(c: Column) -> Column:
+            rate = _rated(t, valences, c["loud"], c["but"])
+            return F.aggregate(hits, F.lit(0.0), lambda sum_, i: sum_ + rate(i))
+
+        return F.when(F.exists(valences, lambda x: x.isNotNull()), let(context, added)).otherwise(0.0)
+
+    def of_parts(parts: Column) -> Column:
+        both = F.struct(parts.alias("parts"), F.transform(parts, F.lower).alias("words"))
+        values = lambda t: F.transform(t["words"], lambda w, i: valence(w, i).cast("double"))
+        return let(both, lambda t: let(values(t), lambda x: total(t, x)))
+
+    found = let(_split(text), of_parts)
+    total_found = F.coalesce(found, F.lit(0.0))
     return let(
-        F.struct(total.alias("t"), _emphasis(F.coalesce(text, F.lit(""))).alias("e")),
+        F.struct(total_found.alias("t"), _emphasis(F.coalesce(text, F.lit(""))).alias("e")),
         lambda s: normalise(s["t"] + F.signum(s["t"]) * s["e"]),
     )
 
