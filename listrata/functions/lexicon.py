@@ -159,7 +159,7 @@ def _rated(text: Column, valences: Column, loud: Column, but: Column) -> Callabl
                     .otherwise(turn)
                 )
             neutral = prior.isNotNull() & F.get(valences, i - k).isNull()
-            rated = F.when(neutral, (rated + boost) * turn).otherwise(rated)
+            rated = (rated + F.when(neutral, boost).otherwise(0.0)) * F.when(neutral, turn).otherwise(1.0)
         weight = F.when(but == 0, 1.0).when(i < but - 1, BEFORE_BUT).when(i > but - 1, AFTER_BUT).otherwise(1.0)
         return F.when(_boost(word(i)).isNotNull(), 0.0).otherwise(F.when(modified, rated).otherwise(alone) * weight)
 
@@ -206,11 +206,13 @@ def compound(text: Column, valence: Lookup) -> Column:
 
     def of_parts(parts: Column) -> Column:
         both = F.struct(parts.alias("parts"), F.transform(parts, F.lower).alias("words"))
-        values = lambda t: F.transform(t["words"], lambda w, i: valence(w, i).cast("double"))
-        return let(both, lambda t: let(values(t), lambda x: total(t, x)))
+        return let(both, rated)
 
-    found = let(_split(text), of_parts)
-    total_found = F.coalesce(found, F.lit(0.0))
+    def rated(t: Column) -> Column:
+        values = F.transform(t["words"], lambda w, i: valence(w, i).cast("double"))
+        return let(values, lambda x: total(t, x))
+
+    total_found = F.coalesce(let(_split(text), of_parts), F.lit(0.0))
     return let(
         F.struct(total_found.alias("t"), _emphasis(F.coalesce(text, F.lit(""))).alias("e")),
         lambda s: normalise(s["t"] + F.signum(s["t"]) * s["e"]),
