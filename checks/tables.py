@@ -127,16 +127,15 @@ def _bootstrap(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
 
 @query(
     "raw_bootstrap",
-    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
-      c_mktsegment, o_orderkey, o_orderstatus
-    FROM customer LEFT JOIN (SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_custkey FROM orders) o
-      ON o_custkey = c_custkey""",
+    """SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment, o_orderkey,
+      o_totalprice, o_orderstatus FROM customer LEFT JOIN orders ON o_custkey = c_custkey""",
 )
 def raw_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _bootstrap(spark, sf_dir, ["customer", "orders"])
     customers, orders = spark.table(f"{database}.customer"), spark.table(f"{database}.orders")
     return customers.join(orders, F.col("o_custkey") == F.col("c_custkey"), "left").select(
-        "c_custkey", "c_name", "c_nationkey", "c_mktsegment", "o_orderkey", "o_orderstatus"
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "o_orderkey", "o_totalprice",
+        "o_orderstatus",
     )
 
 

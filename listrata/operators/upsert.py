@@ -63,7 +63,8 @@ def _keep_one(df: DataFrame, ids: list[str], modification: str | None, order_col
         sort.append(F.col(_BATCH).desc())
     if order_column and order_column in df.columns:
         sort.append(F.col(order_column).desc_nulls_last())
-    sort.append(F.xxhash64(*[c for c in df.columns if c != _BATCH]).desc())
+    hashed = [name for name, kind in df.dtypes if name != _BATCH and "map<" not in kind]
+    sort.append(F.xxhash64(*hashed).desc())
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*ids).orderBy(*sort)))
     return ranked.filter("_rank = 1").drop("_rank", _BATCH)
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from listrata.functions.cleaning import FALSE_TEXTS, NUMBER, TRUE_TEXTS
+
 ROW_ORDER = "_row_order"
 
 # The texts a pandas CSV reader takes for a missing value.
@@ -40,6 +42,7 @@ def read_csv(
     multi_line: bool = True,
     na_texts: Sequence[str] = NA_TEXTS,
     row_order: bool = False,
+    infer: bool = False,
     **options: str | bool,
 ) -> DataFrame:
     """Every column of a headed CSV as text, missing-value words as null.
@@ -49,7 +52,8 @@ def read_csv(
     (``""``), a backslash, or ``None`` to find out by :func:`quote_escape`. A file that holds line breaks inside quotes needs
     ``multi_line``, and is then read by one task per file; pass ``False`` for
     files known to hold none, so that large ones are split. ``row_order`` adds
-    ``_row_order``, which grows along a file.
+    ``_row_order``, which grows along a file. ``infer`` types the columns by
+    :func:`infer_types`.
     """
     paths = [path] if isinstance(path, str) else list(path)
     raw = (
@@ -64,9 +68,38 @@ def read_csv(
             for c in raw.columns
         ]
     )
+    if infer:
+        cleaned = infer_types(cleaned)
     return cleaned.withColumn(ROW_ORDER, F.monotonically_increasing_id()) if row_order else cleaned
 
 
+def infer_types(df: DataFrame) -> DataFrame:
+    """Text columns by what all their values are: whole, floating, truth value, or text.
+
+    One aggregate tests all columns, after missing-value words have become null. A column
+    without any value is floating.
+    """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    kinds = {
+        "bigint": lambda c: c.rlike(r"^\s*[+-]?\d{1,18}\s*$"),
+        "double": lambda c: c.rlike(NUMBER),
+        "boolean": lambda c: c.isin(*TRUE_TEXTS, *FALSE_TEXTS),
+    }
+    if not texts:
+        return df
+    tests = {(c, kind): test for c in texts for kind, test in kinds.items()}
+    found = df.agg(*[F.bool_and(test(F.col(f"`{c}`"))) for (c, _), test in tests.items()]).first()
+    fits = dict(zip(tests, found))
+
+    def typed(c: str) -> Column:
+        if fits[c, "double"] is None:
+            return F.lit(None).cast("double").alias(c)
+        kind = next((k for k in kinds if fits[c, k]), "string")
+        return F.trim(f"`{c}`").cast(kind).alias(c) if kind != "string" else F.col(f"`{c}`")
+
+    return df.select(*[typed(c) if c in texts else F.col(f"`{c}`") for c in df.columns])
+
+
 def write_csv(df: DataFrame, path: str, **options: str | bool) -> None:
     """Replace ``path`` by a headed CSV with doubled quotes."""
     keep_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}

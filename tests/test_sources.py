@@ -48,6 +48,15 @@ def test_csv_by_header_name_and_row_order(spark, tmp_path):
     assert {r.b for r in raw.collect()} == {"x", "y", "NaN"}
 
 
+def test_inferred_types(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        "whole,gaps,real,truth,text,none,big\n1, 2,1.5,True,x,,12345678901234567890\n-3,NA,2,false,5,,1\n"
+    )
+    df = files.read_csv(spark, str(tmp_path / "a.csv"), infer=True)
+    assert [t for _, t in df.dtypes] == ["bigint", "bigint", "double", "boolean", "string", "double", "double"]
+    assert {tuple(r)[:6] for r in df.collect()} == {(1, 2, 1.5, True, "x", None), (-3, None, 2.0, False, "5", None)}
+
+
 def test_dispatch_and_load(spark, tmp_path):
     df = spark.range(3)
     for name in ("t.csv", "t.parquet"):
