@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listrata.llm import decontamination, packing, token_counts
+from listrata.llm import decontamination, language, packing, personal_data, token_counts, toxicity, warc
 from listrata.llm.registry import query
 
 
@@ -34,3 +34,28 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = read(spark, folder, "documents"), read(spark, folder, "benchmark")
     return decontamination.report(decontamination.scan(docs.select("doc_id", "text"), benchmark))
+
+
+@query("op5_warc")
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_pages(read(spark, folder, "pages")).drop("archive", "offset", "length")
+
+
+def fold(folds: int) -> Column:
+    """CRC-32 of the document's number as text, modulo ``folds``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+@query("op7_personal_data")
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.spans(read(spark, folder, "documents"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(read(spark, folder, "documents"), read(spark, folder, "labels"), fold(5) != 0)
+
+
+@query("op10_language")
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(read(spark, folder, "documents"), fold(4) != 2)

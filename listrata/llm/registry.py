@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,13 +14,26 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver does, if they see that folder.
+
+    Where they don't, the package is shipped like any other (``--py-files``).
+    """
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Decorator: register a query under a name, with its SQL if it has one."""
 
     def register(run: Query) -> Query:
-        QUERIES[name] = run
+        @wraps(run)
+        def prepared(spark: SparkSession, folder: str) -> DataFrame:
+            importable(spark)
+            return run(spark, folder)
+
+        QUERIES[name] = prepared
         if sql is not None:
             ORACLES[name] = sql
-        return run
+        return prepared
 
     return register

@@ -50,24 +50,44 @@ def encoded(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
+class Words:
+    """The words of some texts: one after another, their bytes as terms of the polynomial."""
+
+    def __init__(self, texts: list[str | None], classes: np.ndarray):
+        data = [encoded(t) for t in texts]
+        self.count = len(texts)
+        self.buffer = np.frombuffer(b"\n".join(data) + b"\n", np.uint8) if data else np.zeros(0, np.uint8)
+        lowered = classes[self.buffer]
+        inside = lowered != 0
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        #: Where in the buffer each word starts, and where each text's words begin among all words.
+        self.starts = np.flatnonzero(first)
+        ends = np.cumsum([len(d) + 1 for d in data], dtype=np.int64)
+        self.offsets = np.concatenate([[0], np.searchsorted(self.starts, ends)]).astype(np.int64)
+        values = lowered[inside].astype(np.uint64)
+        self.begin = np.flatnonzero(first[inside])
+        self.lengths = np.diff(np.append(self.begin, len(values)))
+        self.place = np.arange(len(values)) - np.repeat(self.begin, self.lengths)
+        self.terms = values * _powers(int(self.lengths.max(initial=0)))[self.place]
+
+    def hashes(self) -> np.ndarray:
+        if not len(self.begin):
+            return np.zeros(0, np.uint64)
+        return mix(np.add.reduceat(self.terms, self.begin) + self.lengths.astype(np.uint64))
+
+    def prefixes(self, size: int) -> np.ndarray:
+        """Hash of the first ``size`` bytes of each word; 0 for words that are not longer."""
+        if not len(self.begin):
+            return np.zeros(0, np.uint64)
+        sums = np.add.reduceat(np.where(self.place < size, self.terms, np.uint64(0)), self.begin)
+        return np.where(self.lengths > size, mix(sums + np.uint64((1 << 32) + size)), np.uint64(0))
+
+
 def word_hashes(texts: list[str | None], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and where each text's words begin (one entry more than texts)."""
-    data = [encoded(t) for t in texts]
-    ends = np.cumsum([len(d) + 1 for d in data]) if data else np.zeros(0, np.int64)
-    buffer = classes[np.frombuffer(b"\n".join(data) + b"\n", np.uint8)] if data else np.zeros(0, np.uint16)
-    inside = buffer != 0
-    if not inside.any():
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    starts = np.flatnonzero(first)
-    values = buffer[inside].astype(np.uint64)
-    begin = np.flatnonzero(first[inside])
-    lengths = np.diff(np.append(begin, len(values)))
-    place = np.arange(len(values)) - np.repeat(begin, lengths)
-    hashes = np.add.reduceat(values * _powers(int(lengths.max()))[place], begin)
-    offsets = np.concatenate([[0], np.searchsorted(starts, ends)])
-    return mix(hashes + lengths.astype(np.uint64)), offsets
+    found = Words(texts, classes)
+    return found.hashes(), found.offsets
 
 
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:
