@@ -19,7 +19,7 @@ from listrata.llm.frames import free_name, map_batches, stored
 from listrata.llm.words import ALNUM, Words
 
 #: Hashed features; one more stands for "none" and has no weight.
-FEATURES = 1 << 18
+FEATURES = 1 << 22
 #: Word beginnings that count as features, in bytes of UTF-8; whole words count too.
 PREFIXES = (4, 5, 6)
 #: Toxic documents that a model is fitted on, on average, and twice as many others; bounds the fitting task.
@@ -38,7 +38,7 @@ def sentences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     """
     words = Words(texts, ALNUM)
     kinds = [words.hashes(), *(words.prefixes(n) for n in PREFIXES)]
-    features = np.stack([np.where(h != 0, (h >> np.uint64(46)).astype(np.int32), FEATURES) for h in kinds], axis=1)
+    features = np.stack([np.where(h != 0, (h >> np.uint64(42)).astype(np.int32), FEATURES) for h in kinds], axis=1)
     place = np.cumsum(_ENDS[words.buffer])[words.starts] if len(words.starts) else np.zeros(0, np.int64)
     first = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else np.zeros(0, np.int64)
     return features, first, np.searchsorted(words.offsets, first, side="right") - 1
@@ -125,6 +125,16 @@ class Model:
     def __init__(self, weights: np.ndarray, bias: float, slope: float = 1.0, shift: float = 0.0):
         self.weights, self.bias, self.slope, self.shift = weights.astype(np.float32), bias, slope, shift
 
+    def __getstate__(self) -> dict:
+        """Nearly all weights are 0; only the others travel."""
+        places = np.flatnonzero(self.weights)
+        return self.__dict__ | {"weights": (places, self.weights[places])}
+
+    def __setstate__(self, state: dict) -> None:
+        places, values = state["weights"]
+        self.__dict__ |= state | {"weights": np.zeros(FEATURES + 1, np.float32)}
+        self.weights[places] = values
+
     def calibrated(self, scores: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * _logit(scores) + self.shift, -40, 40)))
 
@@ -167,13 +177,17 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, id: str, text: s
     def fitted(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("hash")
         weights, *numbers = fit(frame["text"].tolist(), frame["label"].to_numpy())
-        return pd.DataFrame([[weights.astype(np.float32).tobytes(), *numbers]], columns=["weights", "bias", "slope", "shift"])
+        places = np.flatnonzero(weights)
+        row = [places.astype(np.int64).tobytes(), weights[places].tobytes(), *numbers]
+        return pd.DataFrame([row], columns=["places", "weights", "bias", "slope", "shift"])
 
     one = texts.withColumn("model", F.lit(0)).groupBy("model")
-    rows = one.applyInPandas(fitted, "weights binary, bias double, slope double, shift double").collect()  # one row
+    rows = one.applyInPandas(fitted, "places binary, weights binary, bias double, slope double, shift double").collect()  # one row
     if not rows:
         return Model(np.zeros(FEATURES + 1), -40.0)
-    return Model(np.frombuffer(rows[0]["weights"], np.float32).copy(), *rows[0][1:])
+    weights = np.zeros(FEATURES + 1)
+    weights[np.frombuffer(rows[0]["places"], np.int64)] = np.frombuffer(rows[0]["weights"])
+    return Model(weights, *rows[0][2:])
 
 
 def predict(docs: DataFrame, model: Model, kept: list[Column], text: str = "text", name: str = "found") -> DataFrame:
