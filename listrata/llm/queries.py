@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listrata.llm import decontamination, language, packing, personal_data, token_counts, toxicity, warc
+from listrata.llm import decontamination, language, near_duplicates, packing, personal_data, token_counts, toxicity, warc
 from listrata.llm.registry import query
 
 
@@ -25,6 +25,11 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), tokenizer())
 
 
+@query("op2_near_duplicates")
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.groups(read(spark, folder, "documents"), width=4)
+
+
 @query("op4_token_counts")
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read(spark, folder, "documents"), tokenizer())
