@@ -5,8 +5,8 @@ of their signatures are candidates. Only their connected groups matter for the r
 members are tied to its smallest one instead of to each other, and the groups of this sparse graph are
 verified one by one: inside a group every pair that shares a band has its signatures compared a batch at
 a time, until its posterior chance of reaching the threshold falls below ``MISS``; what survives is
-confirmed on the full sets, unless it is connected already. A group is verified by one task per pair of
-blocks of its members, so no task holds an unbounded group.
+confirmed on the full sets, unless it is connected already. Large groups are verified in blocks of their
+members, so no task holds an unbounded group.
 """
 
 from __future__ import annotations
@@ -112,17 +112,18 @@ def _sharing(keys: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-def linked(sets: list[np.ndarray], apart: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Confirmed pairs that connect all that candidates connect; ``apart`` names the block of each set.
+def linked(sets: list[np.ndarray], own: np.ndarray, known: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Confirmed pairs that connect all that candidates connect, beyond what is ``known`` by equal labels.
 
-    Pairs within a block are left out where there are two blocks.
+    ``own`` names the block of each set; where there are two, pairs within a block are left out.
     """
     signatures = np.stack([signature(s) for s in sets])
     pairs = _sharing(bands(signatures))
     first, second = pairs // len(sets), pairs % len(sets)
-    if len(np.unique(apart)) > 1:
-        cross = apart[first] != apart[second]
-        first, second = first[cross], second[cross]
+    wanted = known[first] != known[second]
+    if len(np.unique(own)) > 1:
+        wanted &= own[first] != own[second]
+    first, second = first[wanted], second[wanted]
     sizes = np.array([len(s) for s in sets])
     small, large = np.minimum(sizes[first], sizes[second]), np.maximum(sizes[first], sizes[second])
     first, second = first[100 * small >= percent * large], second[100 * small >= percent * large]
@@ -132,7 +133,7 @@ def linked(sets: list[np.ndarray], apart: np.ndarray, percent: int) -> list[tupl
         equal += (signatures[first, columns] == signatures[second, columns]).sum(axis=1)
         stay = equal >= least
         first, second, equal = first[stay], second[stay], equal[stay]
-    roots, out = list(range(len(sets))), []
+    roots, out = np.unique(known, return_index=True)[1][np.unique(known, return_inverse=True)[1]].tolist(), []
 
     def root(i: int) -> int:
         while roots[i] != i:
@@ -151,23 +152,56 @@ def linked(sets: list[np.ndarray], apart: np.ndarray, percent: int) -> list[tupl
 
 
 def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id: str, text: str) -> DataFrame:
-    """Confirmed links (a, b) between classes, enough to connect every pair that is similar and shares a band."""
+    """Confirmed links (a, b) between classes, enough to connect every pair that is similar and shares a band.
+
+    A group of one block is compared as a whole. Members of a larger one are first compared within two
+    random blocks each, which is linear in the group and connects most of it. Then only those that its
+    largest component still lacks are compared with all others: the larger that component, the fewer
+    pairs of blocks are left, and pairs inside it are never looked at.
+    """
+    members = stored(_members(docs, classes, id, text), "members")
+    seeds = F.when(F.col("blocks") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    first = members.withColumn("i", F.explode(seeds)).withColumn("j", F.pmod(F.xxhash64("id", "i"), "blocks"))
+    first = stored(_verified(first.withColumn("own", F.lit(0)).withColumn("label", F.col("id")), width, percent), "links")
+    large = members.where("blocks > 1")
+    if not large.limit(1).count():
+        return first
+    found = components(first).select(F.col("node").alias("id"), F.col("component").alias("label"))
+    labels = large.select("id", "component").join(stored(found, "labels"), "id", "left")
+    labels = stored(labels.select("id", "component", F.coalesce("label", "id").alias("label")).distinct(), "labels")
+    counts = labels.groupBy("component", "label").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.groupBy("component").agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("total"))
+    counts = stored(counts.where("total > most.n").select(
+        "component", F.col("most.label").alias("giant"), F.ceil(F.col("most.n") / BLOCK).cast("int").alias("inner"),
+        F.ceil((F.col("total") - F.col("most.n")) / BLOCK).cast("int").alias("outer"),
+    ), "sizes")
+    inside = F.col("label") == F.col("giant")
+    last = F.col("inner") + F.col("outer") - 1
+    own = F.when(inside, F.pmod(F.xxhash64("id"), "inner")).otherwise(F.col("inner") + F.pmod(F.xxhash64("id"), "outer"))
+    rest = (
+        large.join(labels.drop("component"), "id").join(counts, "component").withColumn("own", own)
+        .withColumn("other", F.explode(F.when(inside, F.sequence("inner", last)).otherwise(F.sequence(F.lit(0), last))))
+        .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    )
+    return first.union(_verified(rest, width, percent))
+
+
+def _members(docs: DataFrame, classes: DataFrame, id: str, text: str) -> DataFrame:
+    """The classes that share a band with another: id, text, key, group (component) and its number of blocks."""
     keys = classes.select("rep", F.explode("bands").alias("band"))
     hubs = keys.groupBy("band").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     ties = keys.join(stored(hubs, "hubs"), "band").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     tied = components(ties)
     roots = tied.select(F.col("component").alias("rep"), "component").distinct()
-    members = stored(tied.withColumnRenamed("node", "rep").union(roots), "members")
+    members = stored(tied.withColumnRenamed("node", "rep").union(roots), "tied")
     sizes = stored(members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")), "sizes")
-    members = members.join(sizes, "component").join(classes.select("rep", "key"), "rep")
-    members = stored(members.withColumnRenamed("rep", "id"), "members")
+    members = members.join(sizes, "component").join(classes.select("rep", "key"), "rep").withColumnRenamed("rep", "id")
     texts = docs.select(F.col(f"`{id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    dealt = (
-        texts.join(members, "id")
-        .withColumn("own", F.pmod(F.xxhash64("id"), "blocks"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
-        .select("id", "text", "key", "own", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    )
+    return texts.join(stored(members, "tied"), "id")
+
+
+def _verified(dealt: DataFrame, width: int, percent: int) -> DataFrame:
+    """The links that each block (component, i, j) of ``dealt`` confirms."""
 
     def verify(frame: pd.DataFrame) -> pd.DataFrame:
         sets = shingle_sets(frame["text"].tolist(), width)
@@ -176,11 +210,12 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id: str
             if set_key(shingles) == key:
                 rows.setdefault((number, key), i)
         rows = sorted(rows.values())
-        ids, own = frame["id"].to_numpy()[rows], frame["own"].to_numpy()[rows]
-        found = linked([sets[i] for i in rows], own, percent) if len(rows) > 1 else []
+        ids, own, label = (frame[name].to_numpy()[rows] for name in ("id", "own", "label"))
+        found = linked([sets[i] for i in rows], own, label, percent) if len(rows) > 1 else []
         return pd.DataFrame({"a": ids[[a for a, _ in found]], "b": ids[[b for _, b in found]]}, dtype="int64")
 
-    return dealt.groupBy("component", "i", "j").applyInPandas(verify, "a bigint, b bigint")
+    wanted = dealt.select("id", "text", "key", "own", "label", "component", "i", "j")
+    return wanted.groupBy("component", "i", "j").applyInPandas(verify, "a bigint, b bigint")
 
 
 def groups(docs: DataFrame, width: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
