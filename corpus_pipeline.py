@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from listrata.llm import stages
 from listrata.llm.frames import stored
-from listrata.llm.registry import importable
-
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = [
+STAGES: list[tuple[str, stages.Stage]] = [
+    ("toxicity", stages.toxicity),
+    ("line_dedup", stages.line_deduplicated),
+    ("near_dedup", stages.near_deduplicated),
     ("decontamination", stages.decontaminated),
     ("packing", stages.packed),
 ]
@@ -23,7 +21,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after another, over the documents of ``sf_dir``."""
-    importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")

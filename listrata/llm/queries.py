@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listrata.llm import decontamination, language, near_duplicates, packing, personal_data, token_counts, toxicity, warc
+from listrata.llm import (
+    decontamination, embeddings, language, line_dedup, near_duplicates, packing, personal_data, token_counts, toxicity, warc,
+)
 from listrata.llm.registry import query
 
 
@@ -30,6 +32,17 @@ def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.groups(read(spark, folder, "documents"), width=4)
 
 
+@query("op3_line_dedup")
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document the lines that go and a digest of the text that stays."""
+    cleaned = line_dedup.remove(read(spark, folder, "documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("gone", F.array().cast("array<int>")).alias("removed"), F.length("text").cast("long").alias("n_chars"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 @query("op4_token_counts")
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read(spark, folder, "documents"), tokenizer())
@@ -61,6 +74,11 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(read(spark, folder, "documents"), read(spark, folder, "labels"), fold(5) != 0)
 
 
+@query("op9_embeddings")
+def op9_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.groups(read(spark, folder, "embeddings"))
+
+
 @query("op10_language")
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(read(spark, folder, "documents"), fold(4) != 2)

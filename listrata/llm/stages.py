@@ -2,17 +2,56 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
-from listrata.llm import decontamination, packing
-from listrata.llm.queries import read, tokenizer
+from listrata.llm import decontamination, line_dedup, near_duplicates, packing
+from listrata.llm import toxicity as toxic
+from listrata.llm.queries import fold, read, tokenizer
+from listrata.llm.registry import importable
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def stage(run: Stage) -> Stage:
+    """Decorator: let the stage's Python workers find this package."""
+
+    @wraps(run)
+    def prepared(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return run(spark, docs, sf_dir)
+
+    return prepared
+
+
+@stage
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go; the scores are learnt from the labels that are not held out."""
+    return toxic.without_toxic(docs, read(spark, sf_dir, "labels"), fold(5) != 0)
+
+
+@stage
+def line_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document holds go from the texts; every document stays."""
+    cleaned = line_dedup.remove(docs)
+    return cleaned.select(*(f"`{c}`" for c in docs.columns))
+
+
+@stage
+def near_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return near_duplicates.deduplicate(docs)
 
 
+@stage
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of the benchmark go from the texts; every document stays."""
     return decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
+@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of at most 2048 tokens."""
     return packing.pack(docs, tokenizer())
