@@ -162,11 +162,10 @@ def remove(docs: DataFrame, least: int = LEAST_WORDS, id: str = "doc_id", text:
     already, the new one gets underscores. An empty table gives an empty table.
     """
     name = free_name(docs, "gone")
-    found = repeated(docs, least, id, text).select(
-        F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("gone").alias("_gone")
-    )
-    wanted = (F.col("left.`" + id + "`") == F.col("_id")) & (F.md5(F.col("left.`" + text + "`").cast("string")) == F.col("_key"))
-    joined = docs.alias("left").join(found.alias("right"), wanted, "left").select("left.*", F.col("right._gone").alias(name))
+    found = repeated(docs, least, id, text).alias("right")
+    same = F.md5(F.col(f"left.`{text}`").cast("string")) == F.col("right.key")
+    joined = docs.alias("left").join(found, (F.col(f"left.`{id}`") == F.col("right.id")) & same, "left")
+    joined = joined.select("left.*", F.col("right.gone").alias(name))
 
     def clean(columns: dict[str, list]) -> dict[str, list]:
         return columns | {text: [without(t, g) if g else t for t, g in zip(columns[text], columns[name])]}

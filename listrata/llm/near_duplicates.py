@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listrata.llm.components import components
-from listrata.llm.frames import map_batches, stored
+from listrata.llm.frames import free_name, map_batches, stored
 from listrata.llm.words import mix, shingle_sets
 
 #: Rows of a band and bands: a pair at 0.8 shares none with a chance of 1e-6.
@@ -166,8 +166,9 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id: str
     large = members.where("blocks > 1")
     if not large.limit(1).count():
         return first
-    found = components(first).select(F.col("node").alias("id"), F.col("component").alias("label"))
-    labels = large.select("id", "component").join(stored(found, "labels"), "id", "left")
+    joined = components(first)
+    found = joined.select(F.col("node").alias("id"), F.col("component").alias("label"))
+    labels = large.select("id", "component").join(found, "id", "left")
     labels = stored(labels.select("id", "component", F.coalesce("label", "id").alias("label")).distinct(), "labels")
     counts = labels.groupBy("component", "label").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.groupBy("component").agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("total"))
@@ -183,7 +184,7 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id: str
         .withColumn("other", F.explode(F.when(inside, F.sequence("inner", last)).otherwise(F.sequence(F.lit(0), last))))
         .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
     )
-    return first.union(_verified(rest, width, percent))
+    return joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_verified(rest, width, percent))
 
 
 def _members(docs: DataFrame, classes: DataFrame, id: str, text: str) -> DataFrame:
@@ -231,7 +232,7 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, id: str = "doc_id
     described = stored(features(docs, width, id, text), "features")
     classes = described.where("key is not null").groupBy("key").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
     classes = stored(classes, "classes")
-    joined = components(stored(links(docs, classes, width, percent, id, text), "links"))
+    joined = components(links(docs, classes, width, percent, id, text))
     found = classes.select("key", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     found = stored(found.select("key", F.coalesce("component", "rep").alias("component_id")), "found")
     out = described.drop("bands").join(found, "key", "left").withColumn("component_id", F.coalesce("component_id", "id"))
@@ -241,5 +242,6 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, id: str = "doc_id
 
 def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each component of ``groups``; columns stay as they are."""
-    gone = stored(groups(docs, width, percent, id, text).where("not kept").select(id).distinct(), "gone")
-    return docs.join(gone.withColumnRenamed(id, "gone"), F.col(f"`{id}`") == F.col("gone"), "left_anti")
+    name = free_name(docs, "gone")
+    gone = groups(docs, width, percent, id, text).where("not kept").select(F.col(f"`{id}`").alias(name)).distinct()
+    return docs.join(stored(gone, "gone"), F.col(f"`{id}`") == F.col(name), "left_anti")

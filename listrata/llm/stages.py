@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from listrata.llm import decontamination, line_dedup, near_duplicates, packing
 from listrata.llm import toxicity as toxic
@@ -26,6 +27,14 @@ def stage(run: Stage) -> Stage:
     return prepared
 
 
+def counted(docs: DataFrame) -> DataFrame:
+    """``docs`` whose ``n_chars``, where there is one, fits the text."""
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = dict(docs.dtypes)["n_chars"]
+    return docs.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), "n_chars"))
+
+
 @stage
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go; the scores are learnt from the labels that are not held out."""
@@ -36,7 +45,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document holds go from the texts; every document stays."""
     cleaned = line_dedup.remove(docs)
-    return cleaned.select(*(f"`{c}`" for c in docs.columns))
+    return counted(cleaned.select(*(f"`{c}`" for c in docs.columns)))
 
 
 @stage
@@ -48,7 +57,7 @@ def near_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 @stage
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of the benchmark go from the texts; every document stays."""
-    return decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+    return counted(decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark")))
 
 
 @stage
