@@ -1,0 +1,72 @@
+import random
+
+import pytest
+
+from listrata.llm import line_dedup
+
+
+def texts_of(df):
+    return {r["doc_id"]: r["text"] for r in df.collect()}
+
+
+def line(seed, words=12):
+    return " ".join(f"w{seed}x{i}" for i in range(words))
+
+
+def test_edge_rows(documents):
+    block = "\n".join([line(1), "", line(2), line(3)])
+    docs = documents([
+        (1, f"head\n{block}\ntail"), (2, f"{block}\nown words here"), (3, block), (4, None), (5, ""), (None, block), (6, line(9, 5)),
+        (7, line(9, 5)), (8, f"a\r\n{line(1)}\r\n{line(2)}\r\n{line(3)}\r\nb"), (3, block), (10, f"{line(3)}\nx\n{line(1)}\ny\n{line(2)}"),
+    ])
+    cleaned = line_dedup.remove(docs)
+    assert cleaned.columns == [*docs.columns, "gone_"]
+    texts = texts_of(cleaned.where("doc_id is not null"))
+    assert texts == {
+        1: f"head\n{block}\ntail", 2: "\nown words here", 3: "", 4: None, 5: "", 6: line(9, 5), 7: line(9, 5), 8: "a\r\nb",
+        10: f"{line(3)}\nx\n{line(1)}\ny\n{line(2)}",
+    }
+    assert texts_of(cleaned.where("doc_id is null")) == {None: block}
+    assert line_dedup.remove(documents([])).count() == 0
+
+
+def test_passages_in_another_order(documents):
+    first, second = ("\n".join(line(s + i) for i in range(3)) for s in (10, 20))
+    texts = texts_of(line_dedup.remove(documents([(1, f"{first}\nmid\n{second}"), (2, f"{second}\nnew\n{first}")])))
+    assert texts[2] == "new"
+
+
+def runs(later, earlier, least):
+    out = set()
+    for i in range(len(later)):
+        for j in range(len(earlier)):
+            n = 0
+            while i + n < len(later) and j + n < len(earlier) and later[i + n] == earlier[j + n]:
+                n += 1
+            if sum(len(x.split()) for x in later[i:i + n]) >= least:
+                out.update(range(i, i + n))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_against_brute_force(documents, seed):
+    """What goes is exactly what stands in a row in an earlier document."""
+    random.seed(seed)
+    passages = [[line(100 * p + i, 8) for i in range(random.randint(4, 9))] for p in range(6)]
+    docs = []
+    for d in range(40):
+        parts = [[line(10_000 + 100 * d + k, 7) for k in range(random.randint(1, 4))]]
+        for p in random.sample(passages, random.randint(0, 3)):
+            parts += [p, [line(20_000 + 100 * d + len(parts), 6)]]
+        docs.append((d, "\n".join(x for part in parts for x in part)))
+    gone = {r["doc_id"]: set(r["gone_"] or ()) for r in line_dedup.remove(documents(docs)).collect()}
+    lines = {d: line_dedup.lines(t) for d, t in docs}
+    for d in lines:
+        expected = set().union(*(runs(lines[d], lines[e], line_dedup.LEAST_WORDS) for e in range(d)), set())
+        assert gone[d] == expected
+
+
+def test_patience_alignment():
+    assert line_dedup.align([1, 2, 3, 4], [1, 9, 3, 4]) == [(0, 0), (2, 2), (3, 3)]
+    assert line_dedup.align([5, 1, 5, 2], [1, 2, 5]) == [(1, 0), (3, 1)]
+    assert line_dedup.align([], [1]) == []

@@ -1,0 +1,41 @@
+import pandas as pd
+
+import corpus_pipeline
+from listrata.llm import line_dedup
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "packing"]
+    from test_decontamination import brute as leaks
+    from test_near_duplicates import brute as near
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    items = pd.read_parquet(f"{FOLDER}/benchmark.parquet")
+    frames = [docs.toPandas()]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, FOLDER)
+        assert out.schema == docs.schema
+        out = spark.createDataFrame(out.toPandas(), out.schema)
+        docs = out
+        frames.append(docs.toPandas())
+    start, calm, cleaned, single, free = (dict(zip(f.doc_id, f.text)) for f in frames)
+    assert set(calm) < set(start) and all(calm[i] == start[i] for i in calm)
+    assert set(cleaned) == set(calm) and any(cleaned[i] != calm[i] for i in calm)
+    for i, text in cleaned.items():  # nothing is left that is not of the document, and what goes stands earlier
+        assert set(line_dedup.lines(text)) <= set(line_dedup.lines(calm[i]))
+    expected = near(list(cleaned.items()), 5)
+    assert set(single) == {i for i in cleaned if expected[i][2]}
+    assert set(free) == set(single)
+    before = leaks(list(single.items()), list(zip(items.item_id, items.text)))
+    after = leaks(list(free.items()), list(zip(items.item_id, items.text)))
+    assert any(r[4] for r in before.values()) and not any(r[4] for r in after.values())
+    assert all(free[i] == single[i] for i in single if not before[i][4])
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).toPandas()
+    assert packed[packed.start == 0].doc_id.nunique() == len(free)
+    assert packed.length.sum() == packed[packed.start == 0].doc_tokens.sum()
+
+
+def test_run_is_the_stages(spark):
+    assert set(corpus_pipeline.run(spark, FOLDER).columns) >= {"doc_id", "start", "length", "sequence_id", "offset"}

@@ -1,0 +1,42 @@
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from listrata.llm import token_counts
+
+
+def library(path):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def test_edge_texts(documents, tokenizer):
+    random.seed(1)
+    texts = [
+        None, "", " ", "   ", "\n\n\t a", "a" * 3000, "aaa bbb", "don't we'll I'M", "x<|endoftext|><|endoftext|> y", "1²3½ ⅷ",
+        "\x1c\x1d a", "naïve œuvre ß", "日本語 テキスト", "é 🙂🙂 ​", "_a__b_", "\xa0\x85 x\xa0",
+        "".join(random.choice("ab \n.1é") for _ in range(5000)),
+    ]
+    rows = {r["doc_id"]: r for r in token_counts.token_counts(documents(list(enumerate(texts))), tokenizer).collect()}
+    for i, text in enumerate(texts):
+        expected = len(library(tokenizer).encode(text or "", add_special_tokens=False).ids)
+        assert rows[i]["n_tokens"] == expected, text
+        assert rows[i]["n_bytes"] == len((text or "").encode())
+        assert rows[i]["over_limit"] == (expected > 512)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text(text):
+    from listrata.llm.queries import tokenizer
+
+    path = tokenizer()
+    assert token_counts.counter(path).counts([text]) == [len(library(path).encode(text, add_special_tokens=False).ids)]
+
+
+def test_repeated_rows_and_empty_table(documents, tokenizer):
+    rows = token_counts.token_counts(documents([(1, "a b"), (1, "a b"), (None, "c")]), tokenizer)
+    assert sorted(r["n_tokens"] for r in rows.collect()) == [1, 2, 2]
+    assert token_counts.token_counts(documents([]), tokenizer).count() == 0
