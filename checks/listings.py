@@ -162,7 +162,7 @@ def sentiment_oracle(source: str, key: str, text: str) -> str:
     for k, damping in ((1, 1), (2, 0.95), (3, 0.9)):
         steps.append(
             f"""r{k} AS (SELECT *, CASE WHEN w{k} IS NULL OR v{k} IS NOT NULL THEN x{k - 1} ELSE
-              (x{k - 1} + coalesce(({boost(f'w{k}')} + CASE WHEN loud AND up{k} THEN 0.733e0 ELSE 0 END) * sign(v)
+              (x{k - 1} + coalesce(({boost(f'w{k}')} + CASE WHEN loud AND up{k} THEN 0.733e0 ELSE 0 END) * sign(x{k - 1})
                 * {damping}, 0))
               * CASE WHEN w{k} IN ({words(NEGATIONS)}) OR contains(w{k}, 'n''t') THEN -0.74e0 ELSE 1 END
               END AS x{k} FROM {last})"""
@@ -205,9 +205,9 @@ def sentiment_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT doc_id, sentiment FROM ({sentiment_oracle('documents', 'doc_id', 'text')}) s",
 )
 def sentiment_label_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The way for word tables too large for a constant."""
+    """The way for word tables too large for a subquery."""
     documents = v.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return texts.add_sentiment(documents, "text", v.text_words(spark), key="doc_id", max_words=0).drop("text")
+    return texts.add_sentiment(documents, "text", v.text_words(spark), most_bytes=0).drop("text")
 
 
 _ADJECTIVES = ", ".join(f"'{w}'" for w, tag in v.TAGGED_WORDS if tag.startswith("JJ"))

@@ -1,15 +1,14 @@
 """Row-local text expressions over a word table: valence of a text, adjectives, polarity of a list.
 
-A word table of usual size reaches the executors as one constant, so a text is rated where it is
-read: no token leaves its row and no text is shuffled.
+A word table of usual size reaches the executors as a one-row subquery, so a text is rated where it
+is read: no token leaves its row and no text is shuffled.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +16,6 @@ from pyspark.sql import functions as F
 # The value of a lower-case word at a position of its text; null if the word table lacks it.
 Lookup = Callable[[Column, Column], Column]
 
-# A word table up to this many words becomes a constant; a larger one is joined.
-MAX_WORDS = 50_000
-
 # Constants of the published rule-based rating (VADER).
 ALPHA = 15.0
 BOOST = 0.293
@@ -60,6 +56,12 @@ WEAKER = (
     "scarcely", "slight", "slightly", "somewhat", "sort of", "sorta", "sortof", "sort-of",
 )
 
+# Expressions whose valence is not that of their words.
+IDIOMS = {
+    "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "badass": 1.5, "bus stop": 0.0, "yeah right": -2.0,
+    "kiss of death": -1.5, "to die for": 3.0, "beating heart": 3.1, "broken heart": -2.9,
+}
+
 # White space as Python's split() sees it, and ASCII punctuation.
 SPACE = r"\t-\r\x1c- \x85\p{Z}"
 MARK = r"!-/:-@\[-`{-~"
@@ -81,27 +83,21 @@ def word_table(words: DataFrame, word: str, value: str) -> DataFrame:
     return words.groupBy(F.lower(word).alias("w")).agg(F.max(value).alias("v")).filter("w IS NOT NULL")
 
 
-def constant_lookup(table: DataFrame, max_words: int = MAX_WORDS) -> Lookup | None:
-    """The word table as one constant in the plan, or ``None`` if it has too many words.
+def _beginning(word: Column) -> Column:
+    return F.substring(word, 1, 3)
 
-    At most ``max_words + 1`` rows come to the driver. The constant is a list of slots by hash
-    of the word, so that a lookup does not depend on the number of words.
-    """
-    rows = table.select(F.xxhash64("w").alias("h"), "w", "v").limit(max_words + 1).collect()
-    if len(rows) > max_words:
-        return None
-    slots = 1 << max(1, len(rows).bit_length())
-    content: list[dict] = [{} for _ in range(slots)]
-    for row in rows:
-        content[row["h"] % slots][row["w"]] = row["v"]
-    kind = f"array<map<string,{table.schema['v'].dataType.simpleString()}>>"
-    constant = F.from_json(F.lit(json.dumps(content)), kind)
 
-    def find(w: Column, _position: Column) -> Column:
-        slot = F.get(constant, F.pmod(F.xxhash64(w), F.lit(slots).cast("bigint")).cast("int"))
-        return F.try_element_at(slot, w)
+def nested_words(table: DataFrame) -> DataFrame:
+    """A word table as one row: first letters to a map of the words that begin with them."""
+    maps = table.groupBy(_beginning(F.col("w")).alias("b")).agg(
+        F.map_from_entries(F.collect_list(F.struct("w", "v"))).alias("words")
+    )
+    return maps.agg(F.map_from_entries(F.collect_list(F.struct("b", "words"))).alias("words"))
 
-    return find
+
+def nested_lookup(words: Column) -> Lookup:
+    """Look words up in what :func:`nested_words` makes."""
+    return lambda w, _position: F.try_element_at(F.try_element_at(words, _beginning(w)), w)
 
 
 def _split(text: Column) -> Column:
@@ -122,46 +118,78 @@ def _negates(word: Column) -> Column:
     return word.isin(*NEGATIONS) | F.contains(word, F.lit("n't"))
 
 
-def _modifies(word: Column) -> Column:
-    return word.isin(*NEGATIONS, *STRONGER, *WEAKER) | F.contains(word, F.lit("n't"))
-
-
-def _rated(text: Column, valences: Column, loud: Column, but: Column) -> Callable[[Column], Column]:
-    """Valence of the word at a position after its capitals, the three words before it and "but".
+def _rated(
+    text: Column, valences: Column, loud: Column, but: Column, idioms: Mapping[str, float],
+) -> Callable[[Column], Column]:
+    """Valence of the word at a position after its capitals, what stands around it, and "but".
 
     ``text`` has the lists ``words``, in lower case, and ``parts``, as written; ``loud`` says
-    whether capitals count.
+    whether capitals count. Each step goes on from the value of the step before.
     """
 
     def word(i: Column) -> Column:
         return F.get(text["words"], i)
 
+    def known(i: Column) -> Column:
+        return F.get(valences, i).isNotNull()
+
+    def is_in(w: Column, *items: str) -> Column:
+        return F.coalesce(w.isin(*items), F.lit(False))
+
     def capitals(i: Column) -> Column:
         part = F.get(text["parts"], i)
         return F.when(loud & (part != word(i)) & (part == F.upper(part)), CAPITALS).otherwise(0.0)
 
-    def rate(i: Column) -> Column:
+    def phrase(i: Column, first: int, last: int) -> Column:
+        """The words from ``first`` to ``last`` places after the rated one, null if one is lacking."""
+        parts = [word(i + k) for k in range(first, last + 1)]
+        return F.when(reduce(and_, [p.isNotNull() for p in parts]), F.concat_ws(" ", *parts))
+
+    def alone(i: Column) -> Column:
+        """Valence and capitals; "no" is nothing before a rated word, which it turns."""
         v = F.get(valences, i)
-        alone = v + F.signum(v) * capitals(i)
-        modified, rated = F.lit(False), alone
-        for k, damping in enumerate(BOOST_BY_DISTANCE, start=1):
-            prior = word(i - k)
-            modified = modified | F.coalesce(_modifies(prior), F.lit(False))
-            boost = F.coalesce((_boost(prior) + capitals(i - k)) * F.signum(v) * damping, F.lit(0.0))
-            turn = F.when(_negates(prior), NEGATED).otherwise(1.0)
-            if k > 1:
-                between = [word(i - j) for j in range(1, k)]
-                so = [F.coalesce(w.isin("so", "this"), F.lit(False)) for w in between]
-                doubt = [F.coalesce(w == "doubt", F.lit(False)) for w in between]
-                turn = (
-                    F.when((prior == "never") & reduce(or_, so), NEVER_SO)
-                    .when((prior == "without") & reduce(or_, doubt), 1.0)
-                    .otherwise(turn)
-                )
-            neutral = prior.isNotNull() & F.get(valences, i - k).isNull()
-            rated = (rated + F.when(neutral, boost).otherwise(0.0)) * F.when(neutral, turn).otherwise(1.0)
+        after_no = is_in(word(i - 1), "no") | is_in(word(i - 2), "no") | (
+            is_in(word(i - 3), "no") & is_in(word(i - 1), "or", "nor")
+        )
+        turned = F.when(after_no, v * NEGATED).when(is_in(word(i), "no") & known(i + 1), 0.0).otherwise(v)
+        return let(turned, lambda x: x + F.signum(x) * capitals(i))
+
+    def before(i: Column, k: int, value: Column) -> Column:
+        """The value after the word ``k`` places before, which does nothing if it is rated itself."""
+        prior = word(i - k)
+        boost = F.coalesce((_boost(prior) + capitals(i - k)) * BOOST_BY_DISTANCE[k - 1], F.lit(0.0))
+        turn = F.when(_negates(prior), NEGATED).otherwise(1.0)
+        if k > 1:
+            between = [word(i - j) for j in range(1, k)]
+            so = reduce(or_, [is_in(w, "so", "this") for w in between])
+            doubt = reduce(or_, [is_in(w, "doubt") for w in between])
+            turn = F.when((prior == "never") & so, NEVER_SO).when((prior == "without") & doubt, 1.0).otherwise(turn)
+        changed = let(value, lambda x: (x + F.signum(x) * boost) * turn)
+        if k == 3:
+            changed = let(changed, lambda x: idiom(i, x))
+        return F.when(prior.isNotNull() & ~known(i - k), changed).otherwise(value)
+
+    def idiom(i: Column, value: Column) -> Column:
+        """Expressions around the word replace its value; two- and three-word boosters before it count."""
+        table = F.create_map(*[F.lit(x) for pair in idioms.items() for x in pair]) if idioms else None
+
+        def of(first: int, last: int) -> Column:
+            return F.try_element_at(table, phrase(i, first, last)) if idioms else F.lit(None).cast("double")
+
+        behind = F.coalesce(of(-1, 0), of(-2, 0), of(-2, -1), of(-3, -1), of(-3, -2), value)
+        whole = F.coalesce(of(0, 2), of(0, 1), behind)
+        weaker = [F.when(phrase(i, a, b).isin(*WEAKER), -BOOST).otherwise(0.0) for a, b in ((-3, -1), (-3, -2), (-2, -1))]
+        return whole + reduce(lambda x, y: x + y, [F.coalesce(w, F.lit(0.0)) for w in weaker])
+
+    def least(i: Column, value: Column) -> Column:
+        turns = is_in(word(i - 1), "least") & ~known(i - 1) & ~is_in(word(i - 2), "at", "very")
+        return F.when(turns, value * NEGATED).otherwise(value)
+
+    def rate(i: Column) -> Column:
         weight = F.when(but == 0, 1.0).when(i < but - 1, BEFORE_BUT).when(i > but - 1, AFTER_BUT).otherwise(1.0)
-        return F.when(_boost(word(i)).isNotNull(), 0.0).otherwise(F.when(modified, rated).otherwise(alone) * weight)
+        rated = let(alone(i), lambda x: let(before(i, 1, x), lambda y: let(before(i, 2, y), lambda z: least(i, before(i, 3, z)))))
+        silent = _boost(word(i)).isNotNull() | (is_in(word(i), "kind") & is_in(word(i + 1), "of"))
+        return F.when(silent, 0.0).otherwise(rated * weight)
 
     return rate
 
@@ -180,11 +208,12 @@ def normalise(total: Column) -> Column:
     return F.round(total / F.sqrt(total * total + ALPHA), 4)
 
 
-def compound(text: Column, valence: Lookup) -> Column:
+def compound(text: Column, valence: Lookup, idioms: Mapping[str, float] = IDIOMS) -> Column:
     """Sentiment of a text between -1 and 1; 0 for missing text.
 
     Rules of the published rating: word valence, strengthening and weakening words and
-    negations up to three words before, capitals, "but", exclamation and question marks.
+    negations up to three words before, "no", "least", idioms, capitals, "but", exclamation and
+    question marks.
     """
 
     def total(t: Column, valences: Column) -> Column:
@@ -199,7 +228,7 @@ def compound(text: Column, valence: Lookup) -> Column:
         )
 
         def added(c: Column) -> Column:
-            rate = _rated(t, valences, c["loud"], c["but"])
+            rate = _rated(t, valences, c["loud"], c["but"], idioms)
             return F.aggregate(hits, F.lit(0.0), lambda sum_, i: sum_ + rate(i))
 
         return F.when(F.exists(valences, lambda x: x.isNotNull()), let(context, added)).otherwise(0.0)

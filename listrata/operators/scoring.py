@@ -121,7 +121,7 @@ def review_score(
             "S2": mood,
         }
     )
-    scored = add_polarity(scored, "adjectives", valences, "S3", key=("google_id", "review_id"))
+    scored = add_polarity(scored, "adjectives", valences, "S3")
     words, likes = F.col("S3"), F.col("L")
     if not strict:
         words, likes = F.coalesce(words, F.lit(0.0)), F.coalesce(likes, F.lit(0.0))

@@ -2,59 +2,55 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listrata.functions import lexicon
 from listrata.functions.extraction import split_list
 
-_FOUND = "_found"
+_FOUND, _WORDS = "_found", "_words"
 
-# A word is spread over so many groups in a join, because some words are in every text.
-SALTS = 16
+# Bytes of a word table that tasks look words up in where the text is read; a larger one is joined.
+MOST_BYTES = 8 * 1024 * 1024
 
 
 def with_lookup(
-    df: DataFrame, items: Column, words: DataFrame, value: str, *, key: str | Sequence[str] | None = None,
-    max_words: int = lexicon.MAX_WORDS,
+    df: DataFrame, text: Column, items: Column, words: DataFrame, value: str, *, most_bytes: int = MOST_BYTES,
 ) -> tuple[DataFrame, lexicon.Lookup]:
-    """The frame to go on with, and how to look up the words of ``items`` in it.
+    """The frame to go on with, and how to look up the words of ``items`` (a function of ``text``) in it.
 
-    A table of up to ``max_words`` words becomes a constant and the frame stays as it is. A
-    larger one is joined to the exploded items, whose values come back per row as a list by
-    position; this needs the columns that identify a row as ``key``.
+    The word table is measured. If it is small, it comes in as a one-row subquery: words by their
+    first letters, a constant to the tasks, and no text is moved. Otherwise the words of each
+    distinct text are joined to it and come back to the rows by the text's hash. Both ways find
+    the same; ``most_bytes`` only chooses between them.
     """
     table = lexicon.word_table(words, "word", value)
-    find = lexicon.constant_lookup(table, max_words)
-    if find is not None:
-        return df, find
-    if not key:
-        raise ValueError(f"a table of more than {max_words} words needs the key of the rows")
-    keys = [key] if isinstance(key, str) else list(key)
-    places = df.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys],
-        F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int").alias("_salt"),
-        F.posexplode(items).alias("_place", "_word"),
+    size = table.agg(F.sum(F.octet_length("w"))).first()[0] or 0
+    if size <= most_bytes:
+        return df.withColumn(_WORDS, lexicon.nested_words(table).scalar()), lexicon.nested_lookup(F.col(_WORDS))
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.sha2(text.cast("string"), 256)
+    distinct = df.select(text.alias("_text"), items.alias("_items")).groupBy(F.sha2("_text", 256).alias("_key")).agg(
+        F.first("_items").alias("_items")
+    )
+    places = distinct.select(
+        "_key", F.pmod(F.xxhash64("_key"), F.lit(salts)).cast("int").alias("_salt"), F.posexplode("_items").alias("_place", "_word")
     ).withColumn("w", F.lower("_word"))
-    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    found = (
-        places.join(salted, ["w", "_salt"], "left")
-        .groupBy(*[f"_key_{k}" for k in keys])
-        .agg(F.array_sort(F.collect_list(F.struct("_place", "v"))).alias(_FOUND))
+    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    found = places.join(salted, ["w", "_salt"], "left").groupBy("_key").agg(
+        F.array_sort(F.collect_list(F.struct("_place", "v"))).alias(_FOUND)
     )
-    matched = df.join(found, [df[k].eqNullSafe(found[f"_key_{k}"]) for k in keys], "left")
-    return matched.drop(*[f"_key_{k}" for k in keys]), lambda _word, i: F.get(F.col(_FOUND), i)["v"]
+    matched = df.join(found, key == found["_key"], "left").drop("_key")
+    return matched, lambda _word, i: F.get(F.col(_FOUND), i)["v"]
 
 
 def add_sentiment(
     df: DataFrame, text_column: str, valences: DataFrame, new_column: str = "sentiment", **lookup,
 ) -> DataFrame:
     """Add Positive, Neutral or Negative. ``valences`` is a table (word, valence)."""
-    text = F.col(text_column)
-    frame, find = with_lookup(df, lexicon.tokens(text), valences, "valence", **lookup)
-    return frame.withColumn(new_column, lexicon.sentiment(lexicon.compound(text, find))).drop(_FOUND)
+    text, idioms = F.col(text_column), lookup.pop("idioms", lexicon.IDIOMS)
+    frame, find = with_lookup(df, text, lexicon.tokens(text), valences, "valence", **lookup)
+    return frame.withColumn(new_column, lexicon.sentiment(lexicon.compound(text, find, idioms))).drop(_FOUND, _WORDS)
 
 
 def add_adjectives(
@@ -63,8 +59,8 @@ def add_adjectives(
     """Add the adjectives of a text as a comma list. ``tags`` is a table (word, tag)."""
     text = F.col(text_column)
     adjectives = tags.filter(F.col("tag").startswith("JJ"))
-    frame, find = with_lookup(df, lexicon.plain_words(text), adjectives, "tag", **lookup)
-    return frame.withColumn(new_column, lexicon.adjectives(text, find)).drop(_FOUND)
+    frame, find = with_lookup(df, text, lexicon.plain_words(text), adjectives, "tag", **lookup)
+    return frame.withColumn(new_column, lexicon.adjectives(text, find)).drop(_FOUND, _WORDS)
 
 
 def add_polarity(
@@ -72,8 +68,8 @@ def add_polarity(
 ) -> DataFrame:
     """Add the mean polarity of a comma list."""
     items = F.col(list_column)
-    frame, find = with_lookup(df, lexicon.list_words(items), valences, "valence", **lookup)
-    return frame.withColumn(new_column, lexicon.polarity(items, find)).drop(_FOUND)
+    frame, find = with_lookup(df, items, lexicon.list_words(items), valences, "valence", **lookup)
+    return frame.withColumn(new_column, lexicon.polarity(items, find)).drop(_FOUND, _WORDS)
 
 
 def count_items(df: DataFrame, list_column: str, item: str = "adjective", limit: int | None = None) -> DataFrame:

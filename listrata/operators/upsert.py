@@ -102,30 +102,27 @@ def _same_key(left: DataFrame, right: DataFrame, ids: list[str]):
     return reduce(and_, [left[c].eqNullSafe(right[f"_new_{c}"]) for c in ids])
 
 
-def _small_keys(new: DataFrame, ids: list[str]) -> DataFrame | None:
-    """The batch's keys, marked for broadcast, if their measured size is within the bounds."""
+def _keys(new: DataFrame, ids: list[str]) -> DataFrame:
+    """The batch's keys, marked for broadcast if their measured size is within the bounds."""
     keys = new.select(*[F.col(c).alias(f"_new_{c}") for c in ids]).distinct()
     widths = [F.coalesce(F.octet_length(F.col(f"_new_{c}").cast("string")), F.lit(0)) for c in ids]
     measured = keys.agg(F.count(F.lit(1)).alias("n"), F.sum(sum(widths, F.lit(0)).cast("bigint")).alias("b")).first()
-    if measured["n"] > BROADCAST_KEYS or (measured["b"] or 0) > BROADCAST_BYTES:
-        return None
-    return F.broadcast(keys)
+    small = measured["n"] <= BROADCAST_KEYS and (measured["b"] or 0) <= BROADCAST_BYTES
+    return F.broadcast(keys) if small else keys
 
 
 def upsert_increment(
     existing: DataFrame, new: DataFrame, strategy: str, id_columns: str | Sequence[str],
     modification_column: str | None = None, *, order_column: str | None = None,
 ) -> DataFrame:
-    """The same result as :func:`upsert` for an ``existing`` table with unique keys, and a small batch.
+    """Merge a batch: rows whose key is not in it stay exactly as they are, the others are merged.
 
-    Rows whose key is not in the batch pass through without a shuffle; only the touched ones
-    are merged. This measures the batch's keys (one job over the batch, so give it
-    materialised); a batch too large for that is merged by :func:`upsert`.
+    For an ``existing`` table with unique keys this is the result of :func:`upsert`. The batch's keys are
+    measured (one job over the batch, so give it materialised). If they are few they are broadcast and
+    untouched rows are not shuffled; otherwise the same joins shuffle both sides. The result is the same.
     """
     ids = check(existing, new, strategy, id_columns, modification_column)
-    keys = _small_keys(new, ids)
-    if keys is None:
-        return upsert(existing, new, strategy, ids, modification_column, order_column=order_column)
+    keys = _keys(new, ids)
     untouched = existing.join(keys, _same_key(existing, keys, ids), "left_anti")
     if strategy == BY_ID:
         changed = deduplicate(new, ids, order_column=order_column)
@@ -136,9 +133,13 @@ def upsert_increment(
 
 
 def replace_by_id(existing: DataFrame, new: DataFrame, id_columns: str | Sequence[str]) -> DataFrame:
-    """The result of ``by_id`` if keys are unique in each frame: only keys of ``new`` are shuffled."""
+    """The result of ``by_id`` if keys are unique in each frame.
+
+    ``new`` is not shuffled; ``existing`` is, unless the measured keys of ``new`` are small enough to be
+    broadcast.
+    """
     ids = check(existing, new, BY_ID, id_columns)
-    keys = new.select(*[F.col(c).alias(f"_new_{c}") for c in ids])
+    keys = _keys(new, ids)
     return union_by_name(existing.join(keys, _same_key(existing, keys, ids), "left_anti"), new)
 
 

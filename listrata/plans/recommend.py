@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from listrata.functions.measures import haversine_km
 from listrata.operators.columns import where_in
 from listrata.plans.analysis import mean_review_score
+from listrata.sources.workspace import materialize, new_folder
 
 # Company types by what the customer wants.
 TYPES_BY_ACTION = {
@@ -43,13 +44,15 @@ def nearby(
 ) -> DataFrame:
     """The nearest companies, better score first at equal distance, with their mean review score.
 
-    The mean does not take part in the order, so it is computed for the chosen companies only.
+    The mean does not take part in the order, so it is computed for the chosen companies only. These
+    few rows are written once, as they choose the reviews and are joined to them.
     """
     scored = of_action(profiles, action, types_by_action).join(
         scores.select("google_id", F.col("company_profile_score").alias("company_score")), "google_id"
     )
     order = [F.col("distance").asc_nulls_last(), F.desc("company_score"), F.col("google_id")]
     best = add_distance(scored, latitude, longitude).orderBy(*order).limit(limit)
+    best = materialize(best, new_folder(profiles.sparkSession, "nearest"))
     theirs = review_scores.join(best.select("google_id"), "google_id", "left_semi")
     return best.join(mean_review_score(theirs), "google_id", "left").orderBy(*order)
 

@@ -52,7 +52,7 @@ def read_csv(
     (``""``), a backslash, or ``None`` to find out by :func:`quote_escape`. A file that holds line breaks inside quotes needs
     ``multi_line``, and is then read by one task per file; pass ``False`` for
     files known to hold none, so that large ones are split. ``row_order`` adds
-    ``_row_order``, which grows along a file. ``infer`` types the columns by
+    ``_row_order``, which grows along a file, and from file to file by path. ``infer`` types the columns by
     :func:`infer_types`.
     """
     paths = [path] if isinstance(path, str) else list(path)
@@ -62,15 +62,22 @@ def read_csv(
         .csv(paths)
     )
     missing = list(na_texts)
-    cleaned = raw.select(
-        *[
-            F.when(~F.col(f"`{c}`").isin(missing), F.col(f"`{c}`")).alias(c) if missing else F.col(f"`{c}`")
-            for c in raw.columns
-        ]
-    )
-    if infer:
-        cleaned = infer_types(cleaned)
-    return cleaned.withColumn(ROW_ORDER, F.monotonically_increasing_id()) if row_order else cleaned
+    cleaned = [
+        F.when(~F.col(f"`{c}`").isin(missing), F.col(f"`{c}`")).alias(c) if missing else F.col(f"`{c}`")
+        for c in raw.columns
+    ]
+    rows = raw.select(*cleaned, *([place_in_files(*files_of_rows())] if row_order else []))
+    return infer_types(rows) if infer else rows
+
+
+def files_of_rows() -> tuple[Column, Column]:
+    """``file`` and ``block``, where a row was read."""
+    return F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+
+
+def place_in_files(file: Column, block: Column) -> Column:
+    """``_row_order``: file, block of the file and row of the block, in an order that does not depend on sizes."""
+    return F.struct(file.alias("file"), block.alias("block"), F.monotonically_increasing_id().alias("row")).alias(ROW_ORDER)
 
 
 def infer_types(df: DataFrame) -> DataFrame:

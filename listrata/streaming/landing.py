@@ -8,37 +8,55 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listrata.sources.files import NA_TEXTS, ROW_ORDER
+from listrata.sources.files import NA_TEXTS, ROW_ORDER, files_of_rows, place_in_files
 from listrata.sources.landing import land, read_landed
 
 
+def _headers(rows: DataFrame) -> DataFrame:
+    """One row per file: its first row and where that stands."""
+    file, place = F.col(f"{ROW_ORDER}.file").alias("file"), F.col(ROW_ORDER)
+    return rows.groupBy(file).agg(F.min(place).alias("place"), F.min_by("values", place).alias("header"))
+
+
+def _named(column: str) -> Column:
+    """The value that stands where the header names ``column``; missing-value words are null."""
+    at = F.array_position("heads.header", F.lit(column)).cast("int")
+    lacking = F.raise_error(F.concat(F.lit(f"no column {column} in "), F.col("heads.file")))
+    value = F.when(at > 0, F.get("rows.values", at - 1)).otherwise(lacking)
+    return F.when(~value.isin(list(NA_TEXTS)), value).alias(column)
+
+
 def land_new_files(
     spark: SparkSession, incoming: str, bronze: str, checkpoint: str, columns: list[str], run: str, *,
     escape: str = '"', after: Callable[[DataFrame, str], None] | None = None,
 ) -> None:
     """Land the files that arrived since the last call, as partitions ``<run>-<batch>`` of ``bronze``.
 
-    ``columns`` names the file's columns in order. A batch that is repeated after a failure
-    replaces its own partition. ``after`` gets the landed rows and the partition's name.
+    ``columns`` names the columns that every file has; each file's own header says in which order. A
+    file whose header lacks one fails the batch. A batch that is repeated after a failure replaces its
+    own partition. ``after`` gets the landed rows and the partition's name.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    arriving = (
-        spark.readStream.schema(schema).options(header=True, escape=escape, multiLine=True).csv(incoming)
-    )
-    cleaned = arriving.select(*[F.when(~F.col(c).isin(list(NA_TEXTS)), F.col(c)).alias(c) for c in columns])
+    places = [f"_c{i}" for i in range(len(columns))]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in places])
+    reader = spark.readStream.schema(schema).options(header=False, escape=escape, multiLine=True)
+    arriving = reader.csv(incoming).select(F.array(*places).alias("values"), *files_of_rows())
 
     def put(batch: DataFrame, number: int) -> None:
         name = f"{run}-{number}"
-        land(batch.withColumn(ROW_ORDER, F.monotonically_increasing_id()), bronze, name)
+        batch = batch.select("values", place_in_files(F.col("file"), F.col("block")))
+        after_header = batch.alias("rows").join(_headers(batch).alias("heads"), F.expr(f"rows.{ROW_ORDER}.file = heads.file"))
+        after_header = after_header.where(F.expr(f"rows.{ROW_ORDER} > heads.place"))
+        landed = after_header.select(*[_named(c) for c in columns], F.col(f"rows.{ROW_ORDER}").alias(ROW_ORDER))
+        land(landed, bronze, name)
         if after is not None:
             after(read_landed(batch.sparkSession, bronze, name), name)
 
     query = (
-        cleaned.writeStream.foreachBatch(put)
+        arriving.writeStream.foreachBatch(put)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -34,7 +34,9 @@ def words(spark):
 
 def compounds(spark, words, items):
     df = spark.createDataFrame(list(enumerate(items)), "k int, text string")
-    find = lexicon.constant_lookup(lexicon.word_table(words, "word", "valence"))
+    table = lexicon.word_table(words, "word", "valence")
+    df = df.withColumn("words", lexicon.nested_words(table).scalar())
+    find = lexicon.nested_lookup(F.col("words"))
     return [r[0] for r in df.orderBy("k").select(lexicon.compound(F.col("text"), find)).collect()]
 
 
@@ -71,14 +73,50 @@ def test_joined_lookup_equals_constant(spark, words):
     items = [(i, t) for i, (t, _) in enumerate(PUBLISHED)] + [(90, None), (91, ""), (92, "Good GOOD good bad")]
     df = spark.createDataFrame(items, "k int, text string")
     constant = texts.add_sentiment(df, "text", words).orderBy("k").collect()
-    joined = texts.add_sentiment(df, "text", words, key="k", max_words=3).orderBy("k").collect()
+    joined = texts.add_sentiment(df, "text", words, most_bytes=0).orderBy("k").collect()
     assert joined == constant
     tags = words.select("word", F.lit("JJ").alias("tag"))
     constant = texts.add_adjectives(df, "text", tags).orderBy("k").collect()
-    joined = texts.add_adjectives(df, "text", tags, key=["k"], max_words=3).orderBy("k").collect()
+    joined = texts.add_adjectives(df, "text", tags, most_bytes=0).orderBy("k").collect()
     assert joined == constant
-    with pytest.raises(ValueError, match="key"):
-        texts.add_sentiment(df, "text", words, max_words=3)
+
+
+def test_repeated_and_null_keys(spark, words):
+    items = [("a", "good plain words here"), ("a", "bad"), (None, "good"), (None, "bad"), ("b", None), ("c", "good"), ("c", "good")]
+    df = spark.createDataFrame(items, "k string, text string")
+    expected = sorted([("a", "Positive"), ("a", "Negative"), (None, "Positive"), (None, "Negative"), ("b", "Neutral")], key=str)
+    expected = sorted([*expected, ("c", "Positive"), ("c", "Positive")], key=str)
+    for most in (0, texts.MOST_BYTES):
+        rows = texts.add_sentiment(df, "text", words, most_bytes=most).collect()
+        assert sorted([(r["k"], r["sentiment"]) for r in rows], key=str) == expected
+
+
+def score(*valences):
+    total = sum(valences)
+    return round(total / (total * total + 15) ** 0.5, 4)
+
+
+def test_rules_by_hand(spark, words):
+    """Values worked out from the published rules."""
+    by_hand = [
+        ("really not good", score((1.9 * -0.74) - 0.293 * 0.95)),
+        ("very not bad", score((-2.5 * -0.74) + 0.293 * 0.95)),
+        ("not really good", score((1.9 + 0.293) * -0.74)),
+        ("least good", score(1.9 * -0.74)),
+        ("at least good", score(1.9)),
+        ("very least good", score(1.9 + 0.293 * 0.95)),
+        ("no good", score(1.9 * -0.74)),
+        ("no a good", score(1.9 * -0.74)),
+        ("no a b good", score(1.9)),
+        ("no b or good", score(1.9 * -0.74)),
+        ("x sort of good", score(1.9 - 0.293)),
+        ("x kind of good", score(1.9 - 0.293)),
+        ("it was the bad ass", score(1.5)),
+        ("just enough good", score(1.9)),
+    ]
+    got = compounds(spark, words, [text for text, _ in by_hand])
+    for (text, expected), value in zip(by_hand, got):
+        assert value == pytest.approx(expected, abs=1e-4), text
 
 
 def test_adjectives_keep_order_and_case(spark):

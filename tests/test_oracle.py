@@ -15,7 +15,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(oracle_sql()))
 def test_query(spark, con, name):
     columns, got = spark_rows(queries()[name](spark, FOLDER))
     names, expected = sql_rows(con, oracle_sql()[name])

@@ -184,8 +184,12 @@ def test_stream_lands_each_file_once(spark, tmp_path):
     (tmp_path / "in" / "1.csv").write_text('a,b\n1,"x\ny"\n2,NA\n')
     call()
     call()
-    (tmp_path / "in" / "2.csv").write_text("a,b\n3,z\n")
+    (tmp_path / "in" / "2.csv").write_text("b,a\nz,3\n")
     call()
     assert [n for _, n in seen] == [2, 1]
+    assert tuple(landing.read_landed(spark, bronze, seen[1][0]).select("a", "b").first()) == ("3", "z")
+    (tmp_path / "in" / "3.csv").write_text("a,c\n4,y\n")
+    with pytest.raises(Exception, match="no column b"):
+        call()
     names = [name for name, _ in seen]
     assert landing.read_landed(spark, bronze, names[0]).filter("b IS NULL").count() == 1

@@ -53,15 +53,20 @@ def test_against_model(spark, existing, new):
             assert rows(merged) == expected
 
 
-def test_large_batches_take_the_other_way(spark, monkeypatch):
-    old, batch = frames(spark, [("a", 1, 1), ("z", 1, 1)], [("a", 2, 2), ("b", 1, 3), ("b", 0, 4)])
-    small = rows(upsert.upsert_increment(old, batch, upsert.BY_ID, "k", order_column=files.ROW_ORDER))
-    monkeypatch.setattr(upsert, "BROADCAST_KEYS", 1)
-    assert upsert._small_keys(batch, ["k"]) is None
-    assert rows(upsert.upsert_increment(old, batch, upsert.BY_ID, "k", order_column=files.ROW_ORDER)) == small
-    monkeypatch.undo()
-    monkeypatch.setattr(upsert, "BROADCAST_BYTES", 1)
-    assert upsert._small_keys(batch, ["k"]) is None
+def test_size_of_the_batch_does_not_matter(spark, monkeypatch):
+    """A table with repeated keys: what the batch does not name stays as it is, either way."""
+    old, batch = frames(
+        spark, [("a", 1, 1), ("z", 1, 1), ("z", 1, 2), (None, 1, 1)], [("a", 2, 2), ("b", 1, 3), ("b", 0, 4), (None, 5, 5)]
+    )
+    for strategy, column in ((upsert.BY_ID, None), (upsert.BY_ID_AND_MODIFICATION, "m")):
+        results = []
+        for bounds in ({}, {"BROADCAST_KEYS": 0}, {"BROADCAST_BYTES": 0}):
+            with monkeypatch.context() as patch:
+                for name, value in bounds.items():
+                    patch.setattr(upsert, name, value)
+                results.append(rows(upsert.upsert_increment(old, batch, strategy, "k", column, order_column=files.ROW_ORDER)))
+        assert results[0] == results[1] == results[2]
+        assert sum(r[0] == "z" for r in results[0]) == 2
 
 
 def test_hot_key(spark):
