@@ -204,7 +204,7 @@ class Classifier:
             self.weights += np.clip(step, -1, 1)
             if np.abs(step).max() < 1e-9:
                 break
-        self.personal = {f for f in range(1 << FEATURES) if float(self.matrix(np.array([f])) @ self.weights) >= 0}
+        self.personal = set(np.flatnonzero(self.matrix(np.arange(1 << FEATURES)) @ self.weights >= 0).tolist())
 
     @staticmethod
     def matrix(features: np.ndarray) -> np.ndarray:
