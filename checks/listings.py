@@ -210,6 +210,18 @@ def sentiment_label_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.add_sentiment(documents, "text", v.text_words(spark), most_bytes=0).drop("text")
 
 
+@query(
+    "sentiment_repeated_keys",
+    f"""SELECT CASE WHEN doc_id % 7 <> 0 THEN doc_id % 7 END AS company, sentiment
+    FROM ({sentiment_oracle('documents', 'doc_id', 'text')}) s""",
+)
+def sentiment_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose own columns do not tell them apart, by the way for large word tables."""
+    company = F.when(F.col("doc_id") % 7 != 0, F.col("doc_id") % 7).alias("company")
+    documents = v.table(spark, sf_dir, "documents").select(company, "text")
+    return texts.add_sentiment(documents, "text", v.text_words(spark), most_bytes=0).drop("text")
+
+
 _ADJECTIVES = ", ".join(f"'{w}'" for w, tag in v.TAGGED_WORDS if tag.startswith("JJ"))
 
 
@@ -328,9 +340,9 @@ def rank_by_locality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(ranked, "company_score")
 
 
-@query("rank_all", f"{_RANKED} AND state = 'ASIA'")
+@query("rank_all", _RANKED)
 def rank_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = analysis.rank_by_locality(v.curated_profiles(spark, sf_dir), v.scores(spark, sf_dir), state="asia")
+    ranked = analysis.rank_by_locality(v.curated_profiles(spark, sf_dir), v.scores(spark, sf_dir))
     return _rounded(ranked, "company_score")
 
 
@@ -400,7 +412,7 @@ _MOST_REVIEWED = f"""SELECT google_id FROM {v.REVIEWS} r GROUP BY google_id ORDE
 
 @query(
     "best_reviews",
-    f"""SELECT r.google_id, r.review_id, review_rating, user_review_score
+    f"""SELECT r.google_id, r.review_id, review_text, review_rating, user_review_score
     FROM {v.REVIEWS} r JOIN {v.REVIEW_SCORES} s ON r.review_id = s.review_id AND r.google_id = s.google_id
     WHERE r.google_id IN ({_MOST_REVIEWED}) ORDER BY user_review_score DESC, r.google_id, r.review_id LIMIT 5""",
 )
@@ -410,16 +422,16 @@ def best_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         reviews.groupBy("google_id").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "google_id").limit(5)
     )
     best = recommend.best_reviews(reviews, v.review_scores(spark, sf_dir), busiest)
-    return best.select("google_id", "review_id", "review_rating", "user_review_score")
+    return best.select("google_id", "review_id", "review_text", "review_rating", "user_review_score")
 
 
 @query(
     "recommended_reviews",
-    f"""SELECT r.google_id, r.review_id, user_review_score
+    f"""SELECT r.google_id, r.review_id, review_text, user_review_score
     FROM {v.REVIEWS} r JOIN {v.REVIEW_SCORES} s ON r.review_id = s.review_id AND r.google_id = s.google_id
     WHERE r.google_id IN (SELECT google_id FROM ({_NEAR}) n)
     ORDER BY user_review_score DESC, r.google_id, r.review_id LIMIT 5""",
 )
 def recommended_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = recommend.best_reviews(v.reviews(spark, sf_dir), v.review_scores(spark, sf_dir), _near(spark, sf_dir))
-    return best.select("google_id", "review_id", "user_review_score")
+    return best.select("google_id", "review_id", "review_text", "user_review_score")

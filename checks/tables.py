@@ -495,7 +495,10 @@ def _orders_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders from 1997 on, each twice, the later one dearer and with one column more."""
-    orders = table(spark, sf_dir, "orders").filter("o_orderdate >= timestamp_ntz '1997-01-01'")
+    return _twice(table(spark, sf_dir, "orders").filter("o_orderdate >= timestamp_ntz '1997-01-01'"))
+
+
+def _twice(orders: DataFrame) -> DataFrame:
     both = orders.withColumn(files.ROW_ORDER, F.explode(F.array(F.lit(1), F.lit(2)).cast("array<bigint>")))
     return both.select(
         "o_orderkey", "o_custkey", (F.col("o_totalprice") + F.col(files.ROW_ORDER)).alias("o_totalprice"),
@@ -570,11 +573,43 @@ def upsert_latest_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "upsert_first_load",
-    """SELECT o_orderkey, o_custkey, o_totalprice + 2 AS o_totalprice, o_orderdate, o_orderstatus
-    FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'""",
+    "upsert_first_load", "SELECT o_orderkey, o_custkey, o_totalprice + 2 AS o_totalprice, o_orderdate, o_orderstatus FROM orders"
 )
 def upsert_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = _orders_batch(spark, sf_dir)
+    batch = _twice(table(spark, sf_dir, "orders"))
     path = new_folder(spark, "first")
     return upsert.upsert_table(spark, batch, path, upsert.BY_ID, "o_orderkey", order_column=files.ROW_ORDER)
+
+
+@query(
+    "upsert_repeated_keys",
+    """SELECT o_custkey, o_orderkey FROM orders
+      WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+    UNION ALL SELECT c_custkey, -1 FROM customer WHERE c_mktsegment = 'BUILDING'""",
+)
+def upsert_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in which keys repeat: what the batch does not name stays as it is."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    building = table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'")
+    batch = building.select(F.col("c_custkey").alias("o_custkey"), F.lit(-1).cast("bigint").alias("o_orderkey"))
+    return upsert.upsert_increment(orders, batch, upsert.BY_ID, "o_custkey")
+
+
+@query(
+    "upsert_many_files",
+    """SELECT 'short file last' AS files, CAST(o_orderkey AS VARCHAR) AS id,
+      CASE o_orderstatus WHEN 'F' THEN 'later' ELSE o_orderpriority END AS priority FROM orders
+    UNION ALL SELECT 'short file first', CAST(o_orderkey AS VARCHAR), o_orderpriority FROM orders""",
+)
+def upsert_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the rows of several files the last by path wins, however long the files are."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("priority"), "o_orderstatus")
+    whole, short = orders.drop("o_orderstatus"), orders.filter("o_orderstatus = 'F'").select("id", F.lit("later").alias("priority"))
+    results = []
+    for label, first, last in (("short file last", whole, short), ("short file first", short, whole)):
+        folder = new_folder(spark, "files")
+        for name, rows in (("a", first), ("b", last)):
+            files.write_csv(rows.coalesce(1), f"{folder}/{name}.csv")
+        batch = files.read_csv(spark, [f"{folder}/a.csv", f"{folder}/b.csv"], row_order=True)
+        results.append(upsert.deduplicate(batch, "id", order_column=files.ROW_ORDER).select(F.lit(label).alias("files"), "id", "priority"))
+    return results[0].unionByName(results[1])

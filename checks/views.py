@@ -108,6 +108,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         (1 + F.col("event_id") % 5).cast("double").alias("review_rating"),
         F.floor("value").alias("review_likes"),
         F.col("ts").alias("review_timestamp"),
+        F.concat_ws(" ", "event_type", "props").alias("review_text"),
         F.when(kind.isin("purchase", "signup"), "Positive").when(kind == "error", "Negative").otherwise("Neutral")
         .alias("sentiment"),
         F.element_at(
@@ -120,7 +121,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 REVIEWS = """(
   SELECT CAST(event_id AS VARCHAR) AS review_id, CAST(user_id AS VARCHAR) AS google_id,
     CAST(1 + event_id % 5 AS DOUBLE) AS review_rating, CAST(floor(value) AS BIGINT) AS review_likes,
-    ts AS review_timestamp,
+    ts AS review_timestamp, event_type || ' ' || props AS review_text,
     CASE WHEN event_type IN ('purchase', 'signup') THEN 'Positive' WHEN event_type = 'error' THEN 'Negative'
       ELSE 'Neutral' END AS sentiment,
     CASE event_id % 4 WHEN 0 THEN 'great' WHEN 1 THEN 'great,slow' WHEN 2 THEN 'plain, faint,great'
@@ -152,8 +153,8 @@ def hours_text(key: Column) -> Column:
     """Working hours of a company as text of a Python dict: whole, without Sunday, with None, missing, mixed quotes."""
     return F.element_at(
         F.array(
-            F.lit("{'Monday': '9AM-5PM', 'Saturday': '10AM-2PM', 'Sunday': 'Closed'}"),
-            F.lit("{'Monday': '8AM-6PM', 'Saturday': '9AM-1PM'}"),
+            F.concat(F.lit("{'Monday': '"), (key % 12).cast("string"), F.lit("AM-5PM', 'Saturday': 'None, True', 'Sunday': 'Closed'}")),
+            F.concat(F.lit("{'Monday': '8AM-"), (key % 7).cast("string"), F.lit("PM', 'Saturday': '9AM-1PM'}")),
             F.lit("{'Monday': 'Open 24 hours', 'Saturday': None, 'Sunday': 'Open 24 hours'}"),
             F.lit(None).cast("string"),
             F.lit("{\"Monday\": \"owner's hours\", 'Saturday': '9\\u202fAM', \"Sunday\": 'by \"call\"'}"),
@@ -162,11 +163,11 @@ def hours_text(key: Column) -> Column:
     )
 
 
-HOURS = """CASE k % 5 WHEN 0 THEN '10AM-2PM' WHEN 1 THEN '9AM-1PM' WHEN 4 THEN '9' || chr(8239) || 'AM' END
+HOURS = """CASE k % 5 WHEN 0 THEN 'None, True' WHEN 1 THEN '9AM-1PM' WHEN 4 THEN '9' || chr(8239) || 'AM' END
     AS saturday_working_hours,
   CASE k % 5 WHEN 0 THEN 'Closed' WHEN 1 THEN 'Closed' WHEN 2 THEN 'Open 24 hours' WHEN 4 THEN 'by "call"' END
     AS sunday_working_hours,
-  CASE k % 5 WHEN 0 THEN '9AM-5PM' WHEN 1 THEN '8AM-6PM' WHEN 2 THEN 'Open 24 hours' WHEN 4 THEN 'owner''s hours' END
+  CASE k % 5 WHEN 0 THEN (k % 12) || 'AM-5PM' WHEN 1 THEN '8AM-' || (k % 7) || 'PM' WHEN 2 THEN 'Open 24 hours' WHEN 4 THEN 'owner''s hours' END
     AS weekdays_working_hours"""
 
 
@@ -183,9 +184,9 @@ def about_text(key: Column) -> Column:
             F.lit(
                 '{"Accessibility": {"Wheelchair accessible entrance": false,'
                 ' "Wheelchair accessible parking lot": true},'
-                ' "Planning": {"Appointment required": "maybe"}, "Amenities": {"Gender-neutral restroom": true}}'
+                ' "Planning": {"Appointment required": "true"}, "Amenities": {"Gender-neutral restroom": true}}'
             ),
-            F.lit('{"Crowd": 5, "Planning": ["x"], "Service options": {"Onsite services": true}}'),
+            F.lit('{"Crowd": 5, "Planning": ["x"], "Service options": {"Onsite services": 1}}'),
             F.lit('{"Accessibility": {"Wheelchair'),
             F.lit(None).cast("string"),
             F.lit("{}"),

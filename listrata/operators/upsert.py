@@ -98,11 +98,11 @@ def upsert(
     return _without_row_order(_keep_one(both, ids, modification, order_column))
 
 
-def _same_key(left: DataFrame, right: DataFrame, ids: list[str]):
+def same_key(left: DataFrame, right: DataFrame, ids: list[str]):
     return reduce(and_, [left[c].eqNullSafe(right[f"_new_{c}"]) for c in ids])
 
 
-def _keys(new: DataFrame, ids: list[str]) -> DataFrame:
+def batch_keys(new: DataFrame, ids: list[str]) -> DataFrame:
     """The batch's keys, marked for broadcast if their measured size is within the bounds."""
     keys = new.select(*[F.col(c).alias(f"_new_{c}") for c in ids]).distinct()
     widths = [F.coalesce(F.octet_length(F.col(f"_new_{c}").cast("string")), F.lit(0)) for c in ids]
@@ -122,12 +122,12 @@ def upsert_increment(
     untouched rows are not shuffled; otherwise the same joins shuffle both sides. The result is the same.
     """
     ids = check(existing, new, strategy, id_columns, modification_column)
-    keys = _keys(new, ids)
-    untouched = existing.join(keys, _same_key(existing, keys, ids), "left_anti")
+    keys = batch_keys(new, ids)
+    untouched = existing.join(keys, same_key(existing, keys, ids), "left_anti")
     if strategy == BY_ID:
         changed = deduplicate(new, ids, order_column=order_column)
     else:
-        touched = existing.join(keys, _same_key(existing, keys, ids), "left_semi")
+        touched = existing.join(keys, same_key(existing, keys, ids), "left_semi")
         changed = upsert(touched, new, strategy, ids, modification_column, order_column=order_column)
     return union_by_name(untouched, changed)
 
@@ -139,8 +139,8 @@ def replace_by_id(existing: DataFrame, new: DataFrame, id_columns: str | Sequenc
     broadcast.
     """
     ids = check(existing, new, BY_ID, id_columns)
-    keys = _keys(new, ids)
-    return union_by_name(existing.join(keys, _same_key(existing, keys, ids), "left_anti"), new)
+    keys = batch_keys(new, ids)
+    return union_by_name(existing.join(keys, same_key(existing, keys, ids), "left_anti"), new)
 
 
 def upsert_table(
