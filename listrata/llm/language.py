@@ -136,7 +136,7 @@ def train(rows: DataFrame, centroids: int = 4, sample: int = SAMPLE) -> Model:
     weights = frequencies(rows)
     share = rows.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("share"))
     chosen = (
-        rows.join(F.broadcast(stored(share, "languages")), "lang")  # one row per language
+        rows.join(stored(share, "languages"), "lang")  # one row per language, so Spark broadcasts it unless they are very many
         .where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
         .groupBy("lang", F.xxhash64("text").alias("hash")).agg(F.first("text").alias("text"))
     )

@@ -23,7 +23,7 @@ FEATURES = 1 << 22
 #: Word beginnings that count as features, in bytes of UTF-8; whole words count too.
 PREFIXES = (4, 5, 6)
 #: Toxic documents that a model is fitted on, on average, and twice as many others; bounds the fitting task.
-SAMPLE = 4000
+SAMPLE = 2500
 #: Features that take part at most.
 CHOSEN = 4096
 _ENDS = np.isin(np.arange(256), [ord(c) for c in ".!?\n"])
