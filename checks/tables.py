@@ -68,6 +68,12 @@ def bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.union_by_name(*landed)
 
 
+def _then(df: DataFrame, statement: str) -> DataFrame:
+    """``df``, which has found its files by now, after a statement that drops what names them."""
+    df.sparkSession.sql(statement)
+    return df
+
+
 @query(
     "table_append",
     "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
@@ -78,7 +84,7 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")
     warehouse.save_table(orders.filter(old), name, "append", path=folder)
     warehouse.save_table(orders.filter(~old), name, "append")
-    return spark.table(name)
+    return _then(spark.table(name), f"DROP TABLE {name}")
 
 
 @query("table_replace", "SELECT c_custkey, c_name, c_acctbal FROM customer")
@@ -88,7 +94,7 @@ def table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = new_folder(spark, "layer") + "/customer.parquet"
     files.write_table(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal"), source)
     warehouse.load_table(spark, source, name, "replace", path=folder, bucket_by=(4, ["c_custkey"]))
-    return spark.table(name)
+    return _then(spark.table(name), f"DROP TABLE {name}")
 
 
 _SINK_TYPES = {
@@ -116,7 +122,7 @@ def sink_type_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _bootstrap(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
     """Bring tables through CSV files into a database of their own; returns its name."""
     database, folder = f"raw_{uuid.uuid4().hex}", new_folder(spark, "raw")
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/database'")
     for name in names:
         files.write_table(table(spark, sf_dir, name), f"{folder}/in/{name}.csv")
     warehouse.bootstrap(
@@ -133,10 +139,11 @@ def _bootstrap(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
 def raw_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _bootstrap(spark, sf_dir, ["customer", "orders"])
     customers, orders = spark.table(f"{database}.customer"), spark.table(f"{database}.orders")
-    return customers.join(orders, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+    joined = customers.join(orders, F.col("o_custkey") == F.col("c_custkey"), "left").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "o_orderkey", "o_totalprice",
         "o_orderstatus",
     )
+    return _then(joined, f"DROP DATABASE {database} CASCADE")
 
 
 @query(
@@ -164,7 +171,8 @@ def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.table(f"{database}.{name}").agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
         for name in ("customer", "part", "supplier")
     ]
-    return listed.join(reduce(DataFrame.unionByName, sizes), "table_name", "left").select("table_name", "n_rows")
+    counted = listed.join(reduce(DataFrame.unionByName, sizes), "table_name", "left").select("table_name", "n_rows")
+    return _then(counted, f"DROP DATABASE {database} CASCADE")
 
 
 # Projections and filters
