@@ -11,7 +11,10 @@ from __future__ import annotations
 
 import math
 import os
+import sys
 import zlib
+from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -20,14 +23,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listrata.llm.frames import map_batches, stored
-from listrata.llm.token_counts import REMEMBERED, pre_tokens
+from listrata.llm.token_counts import PATTERN, REMEMBERED, load, pre_tokens
 
 #: Pieces a shard holds on average; bounds the memory of a packing task.
 SHARD_PIECES = 16_384
 
 
+def numbers(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+class Known(dict):
+    """Ids of pre-tokens, encoded when they are first asked for."""
+
+    def __init__(self, encode: Callable[[str], list[int]]):
+        self.encode = encode
+
+    def __missing__(self, token: str) -> bytes:
+        self[token] = value = numbers(self.encode(token))
+        return value
+
+
 class Encoder:
-    """Token ids of texts as the vocabulary's own library gives them; remembers pre-tokens."""
+    """Token ids of texts as the vocabulary's own library gives them; remembers pre-tokens.
+
+    A pre-token's ids come from a library that merges short texts faster, with the same vocabulary, if
+    that numbers its tokens in the order of their merges; then both give the same ids.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -35,26 +61,32 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.known = Known(self._ranked(path) or self._plain)
+
+    def _plain(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    @staticmethod
+    def _ranked(path: str) -> Callable[[str], list[int]] | None:
+        merges = load(path)
+        if not merges.in_order:
+            return None
+        from tiktoken import Encoding
+
+        return Encoding("ranked", pat_str=PATTERN, mergeable_ranks=merges.token_bytes, special_tokens={}).encode_ordinary
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [[] if not t else None if any(s in t for s in self.special) else pre_tokens(t) for t in texts]
-        known = self.known
-        new = list({t for tokens in split if tokens for t in tokens if t not in known})
-        known.update(zip(new, self._library(new)))
-        out = [
-            self._library([text])[0] if tokens is None else b"".join(map(known.__getitem__, tokens))
-            for text, tokens in zip(texts, split)
-        ]
-        if len(known) > REMEMBERED:
-            known.clear()
+        known, out = self.known, []
+        for text in texts:
+            if text and any(s in text for s in self.special):
+                out.append(numbers(self._plain(text)))
+            else:
+                out.append(b"".join(map(known.__getitem__, pre_tokens(text or ""))))
+            if len(known) > REMEMBERED:
+                known.clear()
         return out
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        encoded = self.library.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:

@@ -58,6 +58,13 @@ class Merges:
         self.keys, self.ranks, self.merged = keys[order], order, merged[order]
         symbols = byte_symbols()
         self.bytes = np.array([vocabulary[symbols[b]] for b in range(256)], np.int64)
+        #: Whether ids follow the merges, and the bytes of each token that merges can make.
+        single = sorted(self.bytes.tolist())
+        self.in_order = single == list(range(256)) and merged.tolist() == list(range(256, 256 + len(merged)))
+        values = {c: b for b, c in symbols.items()}
+        self.token_bytes = {
+            bytes(values[c] for c in token): number for token, number in vocabulary.items() if token not in set(self.special)
+        } if self.in_order else {}
 
     def counts(self, sequences: list[bytes]) -> np.ndarray:
         """Number of symbols that survive in each sequence."""
