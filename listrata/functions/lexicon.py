@@ -6,6 +6,7 @@ is read: no token leaves its row and no text is shuffled.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from functools import reduce
 from operator import and_, or_
@@ -119,12 +120,12 @@ def _negates(word: Column) -> Column:
 
 
 def _rated(
-    text: Column, valences: Column, loud: Column, but: Column, idioms: Mapping[str, float],
+    text: Column, valences: Column, loud: Column, but: Column, phrases: Column, idioms: Mapping[str, float],
 ) -> Callable[[Column], Column]:
     """Valence of the word at a position after its capitals, what stands around it, and "but".
 
     ``text`` has the lists ``words``, in lower case, and ``parts``, as written; ``loud`` says
-    whether capitals count. Each step goes on from the value of the step before.
+    whether capitals count, ``phrases`` whether the text has any idiom or booster of several words. Each step goes on from the value of the step before.
     """
 
     def word(i: Column) -> Column:
@@ -166,7 +167,7 @@ def _rated(
             turn = F.when((prior == "never") & so, NEVER_SO).when((prior == "without") & doubt, 1.0).otherwise(turn)
         changed = let(value, lambda x: (x + F.signum(x) * boost) * turn)
         if k == 3:
-            changed = let(changed, lambda x: idiom(i, x))
+            changed = let(changed, lambda x: F.when(phrases, idiom(i, x)).otherwise(x))
         return F.when(prior.isNotNull() & ~known(i - k), changed).otherwise(value)
 
     def idiom(i: Column, value: Column) -> Column:
@@ -216,6 +217,8 @@ def compound(text: Column, valence: Lookup, idioms: Mapping[str, float] = IDIOMS
     question marks.
     """
 
+    several = "|".join(map(re.escape, [*idioms, *(w for w in WEAKER if " " in w)]))
+
     def total(t: Column, valences: Column) -> Column:
         places = F.sequence(F.lit(0), F.size(valences))
         hits = F.filter(places, lambda i: F.get(valences, i).isNotNull())
@@ -225,10 +228,11 @@ def compound(text: Column, valence: Lookup, idioms: Mapping[str, float] = IDIOMS
         context = F.struct(
             ((shouted > 0) & (shouted < F.size(valences))).alias("loud"),
             F.coalesce(F.array_position(t["words"], "but"), F.lit(0)).alias("but"),
+            F.array_join(t["words"], " ").rlike(several).alias("phrases"),
         )
 
         def added(c: Column) -> Column:
-            rate = _rated(t, valences, c["loud"], c["but"], idioms)
+            rate = _rated(t, valences, c["loud"], c["but"], c["phrases"], idioms)
             return F.aggregate(hits, F.lit(0.0), lambda sum_, i: sum_ + rate(i))
 
         return F.when(F.exists(valences, lambda x: x.isNotNull()), let(context, added)).otherwise(0.0)
