@@ -106,7 +106,7 @@ def common_blocks(later: list[int], words: list[int], earlier: list[int], least:
 def repeated(docs: DataFrame, least: int, id: str, text: str) -> DataFrame:
     """For each document (id, key) with repeated passages the positions of their lines among its lines."""
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).where("id is not null")
-    rows = rows.withColumn("key", F.md5("text"))
+    rows = rows.withColumn("key", F.xxhash64("text"))
     kind = dict(rows.dtypes)["id"]
 
     def describe(columns: dict[str, list]) -> dict[str, list]:
@@ -114,7 +114,7 @@ def repeated(docs: DataFrame, least: int, id: str, text: str) -> DataFrame:
         return {"id": columns["id"], "key": columns["key"], "hashes": [list(map(line_hash, f)) for f in found],
                 "words": [[len(x.split()) for x in f] for f in found]}
 
-    schema = f"id {kind}, key string, hashes array<bigint>, words array<int>"
+    schema = f"id {kind}, key bigint, hashes array<bigint>, words array<int>"
     described = stored(map_batches(rows.where("text is not null"), describe, schema), "lines")
     place = F.struct("id", "key")
     single = described.select(place.alias("doc"), F.explode(F.arrays_zip("hashes", "words")).alias("line"))
@@ -133,7 +133,7 @@ def repeated(docs: DataFrame, least: int, id: str, text: str) -> DataFrame:
         gone = [common_blocks(a, w, b, least) for a, w, b in zip(columns["hashes"], columns["words"], columns["earlier"])]
         return {"id": [d["id"] for d in columns["doc"]], "key": [d["key"] for d in columns["doc"]], "gone": gone}
 
-    compared = map_batches(both.select("doc", "hashes", "words", "earlier"), compare, f"id {kind}, key string, gone array<int>")
+    compared = map_batches(both.select("doc", "hashes", "words", "earlier"), compare, f"id {kind}, key bigint, gone array<int>")
     found = compared.where(F.size("gone") > 0).groupBy("id", "key").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone")  # a document has at most a partner per line
     )
@@ -162,8 +162,8 @@ def remove(docs: DataFrame, least: int = LEAST_WORDS, id: str = "doc_id", text:
     already, the new one gets underscores. An empty table gives an empty table.
     """
     name = free_name(docs, "gone")
-    found = repeated(docs, least, id, text).alias("right")
-    same = F.md5(F.col(f"left.`{text}`").cast("string")) == F.col("right.key")
+    found = repeated(docs, least, id, text).hint("merge").alias("right")  # grows with the corpus: never broadcast
+    same = F.xxhash64(F.col(f"left.`{text}`").cast("string")) == F.col("right.key")
     joined = docs.alias("left").join(found, (F.col(f"left.`{id}`") == F.col("right.id")) & same, "left")
     joined = joined.select("left.*", F.col("right.gone").alias(name))
 
