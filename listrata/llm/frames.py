@@ -50,7 +50,7 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``most_bytes``, so that what a row grows to stays bounded."""
     rows = batch.num_rows
     if rows:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listrata.llm.frames import map_batches, stored
-from listrata.llm.token_counts import PATTERN, REMEMBERED, load, pre_tokens
+from listrata.llm.token_counts import PATTERN, REMEMBERED, Merges, pre_tokens
 
 #: Pieces a shard holds on average; bounds the memory of a packing task.
 SHARD_PIECES = 16_384
@@ -68,12 +68,12 @@ class Encoder:
 
     @staticmethod
     def _ranked(path: str) -> Callable[[str], list[int]] | None:
-        merges = load(path)
+        merges = Merges(path)
         if not merges.in_order:
             return None
         from tiktoken import Encoding
 
-        return Encoding("ranked", pat_str=PATTERN, mergeable_ranks=merges.token_bytes, special_tokens={}).encode_ordinary
+        return Encoding("ranked", pat_str=PATTERN, mergeable_ranks=merges.token_bytes(), special_tokens={}).encode_ordinary
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""

@@ -25,7 +25,7 @@ _PLAIN = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s
 _UNUSUAL = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbeɐ-\U0010ffff]")
 _FULL = regex.compile(PATTERN)
 #: Pre-tokens whose counts a task remembers; a speed setting without effect on results.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _NONE = np.iinfo(np.int64).max
 
 
@@ -58,13 +58,15 @@ class Merges:
         self.keys, self.ranks, self.merged = keys[order], order, merged[order]
         symbols = byte_symbols()
         self.bytes = np.array([vocabulary[symbols[b]] for b in range(256)], np.int64)
-        #: Whether ids follow the merges, and the bytes of each token that merges can make.
+        #: Whether ids follow the merges.
         single = sorted(self.bytes.tolist())
         self.in_order = single == list(range(256)) and merged.tolist() == list(range(256, 256 + len(merged)))
-        values = {c: b for b, c in symbols.items()}
-        self.token_bytes = {
-            bytes(values[c] for c in token): number for token, number in vocabulary.items() if token not in set(self.special)
-        } if self.in_order else {}
+        self.vocabulary = vocabulary
+
+    def token_bytes(self) -> dict[bytes, int]:
+        """The bytes of each token that merges can make, and its id."""
+        values, special = {c: b for b, c in byte_symbols().items()}, set(self.special)
+        return {bytes(values[c] for c in t): number for t, number in self.vocabulary.items() if t not in special}
 
     def counts(self, sequences: list[bytes]) -> np.ndarray:
         """Number of symbols that survive in each sequence."""
@@ -102,7 +104,9 @@ class Merges:
 
 @lru_cache(maxsize=4)
 def load(path: str) -> Merges:
-    return Merges(path)
+    merges = Merges(path)
+    del merges.vocabulary
+    return merges
 
 
 class Counter:

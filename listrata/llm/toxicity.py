@@ -64,28 +64,32 @@ def fit(
     texts: list[str], labels: np.ndarray, rounds: int = 300, rate: float = 0.3, least: int = 4
 ) -> tuple[np.ndarray, float, float, float]:
     """Weights, bias, slope and shift: by Adam on the noisy-or likelihood with a small penalty on the
-    weights, then by logistic regression on the documents' scores."""
-    parts, owners, sizes = [], [], []
-    for start in range(0, len(texts), 512):
-        features, first, owner = sentences(texts[start:start + 512])
-        parts.append(features)
-        sizes.append(np.diff(np.append(first, len(features))))
-        owners.append(owner + start)
-    features, owner, size = np.concatenate(parts), np.concatenate(owners), np.concatenate(sizes)
-    weights = np.zeros(FEATURES + 1)
+    weights, then by logistic regression on the documents' scores.
+
+    The texts are gone through twice, a few at a time: once to choose the features, once to keep where
+    the chosen ones occur.
+    """
+    weights = np.zeros(FEATURES + 1, np.float32)
     share = labels.mean() if len(labels) else 0.0
     if not 0 < share < 1:
         return weights, 40.0 if share == 1 else -40.0, 1.0, 0.0
-    sentence = np.repeat(np.arange(len(size)), size)
-    chosen = _choose(features, owner[sentence], labels, least)
-    column = np.full(FEATURES + 1, -1)
-    column[chosen] = np.arange(len(chosen))
-    where, kind = np.nonzero(column[features] >= 0)
-    column, row = column[features[where, kind]], sentence[where]
+    chosen = _choose(texts, labels, least)
+    number = np.full(FEATURES + 1, -1, np.int32)
+    number[chosen] = np.arange(len(chosen))
+    columns, rows, owners, total = [], [], [], 0
+    for start, features, first, owner in _parts(texts):
+        sentence = np.repeat(np.arange(total, total + len(first)), np.diff(np.append(first, len(features))))
+        kept = number[features]
+        where, kind = np.nonzero(kept >= 0)
+        columns.append(kept[where, kind])
+        rows.append(sentence[where])
+        owners.append(owner + start)
+        total += len(first)
+    column, row, owner = np.concatenate(columns), np.concatenate(rows), np.concatenate(owners)
     w, bias = np.zeros(len(chosen)), -4.0
     first_moment, second_moment = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, rounds + 1):
-        z = np.clip(bias + np.bincount(row, w[column], len(size)), -30, 30)
+        z = np.clip(bias + np.bincount(row, w[column], total), -30, 30)
         p = 1 / (1 + np.exp(-z))
         miss = np.exp(np.bincount(owner, np.log1p(-p), len(labels)))
         hit = np.maximum(1 - miss, 1e-9)
@@ -97,26 +101,41 @@ def fit(
         change = rate * (first_moment / (1 - 0.9**step)) / (np.sqrt(second_moment / (1 - 0.99**step)) + 1e-8)
         w, bias = w - change[:-1], bias - change[-1]
     weights[chosen] = w
-    p = 1 / (1 + np.exp(-np.clip(bias + np.bincount(row, w[column], len(size)), -30, 30)))
+    p = 1 / (1 + np.exp(-np.clip(bias + np.bincount(row, w[column], total), -30, 30)))
     return weights, float(bias), *calibrate(1 - np.exp(np.bincount(owner, np.log1p(-p), len(labels))), labels)
 
 
-def _choose(features: np.ndarray, document: np.ndarray, labels: np.ndarray, least: int) -> np.ndarray:
+def _parts(texts: list[str], step: int = 256):
+    """Start, features, first words and owners of the sentences of some texts at a time."""
+    for start in range(0, len(texts), step):
+        yield start, *sentences(texts[start:start + step])
+
+
+def _choose(texts: list[str], labels: np.ndarray, least: int) -> np.ndarray:
     """The features that speak for toxic documents more clearly than chance among all features would.
 
     Their likelihood ratio against "as frequent in both classes" must exceed what one in all features
     reaches by chance; rarer words and those that toxic documents lack would only be learnt by heart.
     """
-    pairs = np.unique(features.astype(np.int64).ravel() + np.repeat(document, features.shape[1]) * (FEATURES + 1))
-    found, toxic = pairs % (FEATURES + 1), labels[pairs // (FEATURES + 1)] == 1
-    ones, zeros = np.bincount(found[toxic], minlength=FEATURES + 1), np.bincount(found[~toxic], minlength=FEATURES + 1)
-    total, share = np.maximum(ones + zeros, 1), labels.mean()
+    counts = np.zeros((2, FEATURES + 1), np.int32)
+    for start, features, first, owner in _parts(texts):
+        document = np.repeat(owner, np.diff(np.append(first, len(features))))
+        pairs = np.unique((features + document[:, None] * (FEATURES + 1)).ravel())
+        toxic = labels[start + pairs // (FEATURES + 1)] == 1
+        found = pairs % (FEATURES + 1)
+        for label in (0, 1):
+            places, n = np.unique(found[toxic == bool(label)], return_counts=True)
+            counts[label, places] += n.astype(np.int32)
+    counts[:, FEATURES] = 0
+    some = np.flatnonzero(counts.sum(axis=0) >= least)
+    zeros, ones = counts[:, some].astype(float)
+    total, share = ones + zeros, labels.mean()
     with np.errstate(divide="ignore", invalid="ignore"):
         ratio = 2 * (np.where(ones, ones * np.log(ones / (total * share)), 0)
                      + np.where(zeros, zeros * np.log(zeros / (total * (1 - share))), 0))
-    ratio[(ones <= share * total) | (total < least) | (np.arange(FEATURES + 1) == FEATURES)] = 0
+    ratio[ones <= share * total] = 0
     best = np.argsort(-ratio, kind="stable")[:CHOSEN]
-    return np.sort(best[ratio[best] > 2 * np.log(FEATURES)])
+    return some[np.sort(best[ratio[best] > 2 * np.log(FEATURES)])]
 
 
 class Model:
@@ -178,7 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, id: str, text: s
         frame = frame.sort_values("hash")
         weights, *numbers = fit(frame["text"].tolist(), frame["label"].to_numpy())
         places = np.flatnonzero(weights)
-        row = [places.astype(np.int64).tobytes(), weights[places].tobytes(), *numbers]
+        row = [places.astype(np.int64).tobytes(), weights[places].astype(np.float64).tobytes(), *numbers]
         return pd.DataFrame([row], columns=["places", "weights", "bias", "slope", "shift"])
 
     one = texts.withColumn("model", F.lit(0)).groupBy("model")
