@@ -14,11 +14,18 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+#: Rows that go to a Python worker at a time: texts are long, and both sides hold a batch whole.
+BATCH_ROWS = 1000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver does, if they see that folder.
+    """Let Python workers import this package from where the driver does, if they see that folder, and
+    send them rows in batches that suit long texts.
 
-    Where they don't, the package is shipped like any other (``--py-files``).
+    Where they don't see it, the package is shipped like any other (``--py-files``).
     """
+    spark.conf.set(_ROWS, str(min(BATCH_ROWS, int(spark.conf.get(_ROWS)))))
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
 
 
