@@ -1,9 +1,9 @@
 """Repeated passages: overlapping documents are aligned, aligned blocks go from the later one.
 
-Every line is known by a hash. Of the documents that hold a line the earliest stands for all others,
-so a line of any frequency gives each document one partner, and no cap is needed. Documents are paired if
-they share enough words in such lines, or a third of that in rare lines alone, since a passage may hold
-lines that other documents had earlier. Each pair's lines are aligned by patience diff: lines that are rare, that is
+Every line is known by a hash, and so is every run: the fewest lines in a row, from a line forward or
+backward, that hold enough words. A passage is repeated where runs are, and its runs cover it. Of the
+documents that hold a run the earliest stands for all others, so a run of any frequency gives each
+document one partner, and no cap is needed. Each pair's lines are aligned by patience diff: lines that are rare, that is
 unique in both documents, are matched in their longest common order, then what lies between is aligned
 in the same way. Aligned blocks of enough words are deleted from the later document; the rest is
 aligned again until nothing is left, so passages in another order are found too.
@@ -15,7 +15,9 @@ earlier one; the earliest holder of a passage keeps it.
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
+from array import array
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +26,6 @@ from listrata.llm.frames import free_name, map_batches, stored
 
 #: Words that a deleted block holds at least.
 LEAST_WORDS = 25
-#: Occurrences up to which a line is rare; a third of the words in rare lines makes a pair as well.
-RARE = 100
 
 
 def lines(text: str | None) -> list[str]:
@@ -38,6 +38,26 @@ def line_hash(line: str) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
+def runs(words: list[int], least: int) -> list[tuple[int, int]]:
+    """(start, end) of the shortest runs of lines with at least ``least`` words, from each line forward and backward."""
+    total, found = [0, *accumulate(words)], set()
+    for i in range(len(words)):
+        end = bisect_left(total, total[i] + least)
+        if end < len(total):
+            found.add((i, end))
+        start = bisect_right(total, total[i + 1] - least) - 1
+        if start >= 0:
+            found.add((start, i + 1))
+    return sorted(found)
+
+
+def run_hashes(hashes: list[int], words: list[int], least: int) -> list[int]:
+    """The distinct hashes of the runs."""
+    packed = memoryview(array("q", hashes).tobytes())
+    digests = {hashlib.blake2b(packed[8 * a:8 * b], digest_size=8).digest() for a, b in runs(words, least)}
+    return [int.from_bytes(d, "little", signed=True) for d in digests]
+
+
 def _rising(places: list[int]) -> list[int]:
     """Positions of a longest rising subsequence."""
     tails, last, before = [], [], []
@@ -111,20 +131,17 @@ def repeated(docs: DataFrame, least: int, id: str, text: str) -> DataFrame:
 
     def describe(columns: dict[str, list]) -> dict[str, list]:
         found = [lines(t) for t in columns["text"]]
-        return {"id": columns["id"], "key": columns["key"], "hashes": [list(map(line_hash, f)) for f in found],
-                "words": [[len(x.split()) for x in f] for f in found]}
+        hashes, words = [list(map(line_hash, f)) for f in found], [[len(x.split()) for x in f] for f in found]
+        return {"id": columns["id"], "key": columns["key"], "hashes": hashes, "words": words,
+                "runs": [run_hashes(h, w, least) for h, w in zip(hashes, words)]}
 
-    schema = f"id {kind}, key bigint, hashes array<bigint>, words array<int>"
+    schema = f"id {kind}, key bigint, hashes array<bigint>, words array<int>, runs array<bigint>"
     described = stored(map_batches(rows.where("text is not null"), describe, schema), "lines")
     place = F.struct("id", "key")
-    single = described.select(place.alias("doc"), F.explode(F.arrays_zip("hashes", "words")).alias("line"))
-    single = single.select("doc", F.col("line.hashes").alias("hash"), F.col("line.words").alias("words"))
-    holders = single.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"))
+    single = described.select(place.alias("doc"), F.explode("runs").alias("hash"))
+    holders = single.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     holders = stored(holders.where("first <> last").drop("last"), "holders")
-    pairs = single.join(holders, "hash").where("doc <> first").groupBy("doc", "first").agg(
-        F.sum("words").alias("shared"), F.sum(F.when(F.col("n") <= RARE, F.col("words"))).alias("rare")
-    )
-    pairs = stored(pairs.where((F.col("shared") >= least) | (F.col("rare") >= least / 3)).select("doc", "first"), "pairs")
+    pairs = stored(single.join(holders, "hash").where("doc <> first").select("doc", "first").distinct(), "pairs")
     described = described.dropDuplicates(["id", "key"])
     whole = stored(described.select(place.alias("doc"), "hashes", "words"), "lines")
     both = pairs.join(whole, "doc").join(whole.select(F.col("doc").alias("first"), F.col("hashes").alias("earlier")), "first")
@@ -135,7 +152,7 @@ def repeated(docs: DataFrame, least: int, id: str, text: str) -> DataFrame:
 
     compared = map_batches(both.select("doc", "hashes", "words", "earlier"), compare, f"id {kind}, key bigint, gone array<int>")
     found = compared.where(F.size("gone") > 0).groupBy("id", "key").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone")  # a document has at most a partner per line
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone")  # a document has at most a partner per run
     )
     return stored(found, "gone")
 

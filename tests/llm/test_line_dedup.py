@@ -66,6 +66,28 @@ def test_against_brute_force(documents, seed):
         assert gone[d] == expected
 
 
+def gone_of(df):
+    return {r["doc_id"]: r["gone_"] or [] for r in df.collect()}
+
+
+def expected_of(docs):
+    """What brute force deletes from each of the documents, which are in order."""
+    found = [(d, line_dedup.lines(t)) for d, t in docs]
+    return {d: sorted(set().union(*(runs(x, y, line_dedup.LEAST_WORDS) for _, y in found[:i]))) for i, (d, x) in enumerate(found)}
+
+
+def test_lines_that_earlier_documents_hold_scattered(documents):
+    """The earliest holder of a passage is not that of its lines."""
+    a, b = ([line(s + i) for i in range(3)] for s in (10, 20))
+    own = [line(100 + i, 6) for i in range(20)]
+    parts = [[a[0], own[0], a[1], own[1]], [own[2], a[2], own[3]], [own[4], *a], [*a, own[5]], [own[6], *a, own[7]]]  # holders differ
+    parts += [[b[0], own[8], b[1], b[2]], [own[9], *b], [*b, own[10]], [own[11], *b, own[12]]]  # one holder, but with a line between
+    docs = [(i, "\n".join(part)) for i, part in enumerate(parts)]
+    gone = gone_of(line_dedup.remove(documents(docs)))
+    assert gone == expected_of(docs)
+    assert [gone[i] for i in (2, 3, 4, 6, 7, 8)] == [[], [0, 1, 2], [1, 2, 3], [], [0, 1, 2], [1, 2, 3]]
+
+
 def test_patience_alignment():
     assert line_dedup.align([1, 2, 3, 4], [1, 9, 3, 4]) == [(0, 0), (2, 2), (3, 3)]
     assert line_dedup.align([5, 1, 5, 2], [1, 2, 5]) == [(1, 0), (3, 1)]
