@@ -88,6 +88,16 @@ def test_lines_that_earlier_documents_hold_scattered(documents):
     assert [gone[i] for i in (2, 3, 4, 6, 7, 8)] == [[], [0, 1, 2], [1, 2, 3], [], [0, 1, 2], [1, 2, 3]]
 
 
+@pytest.mark.parametrize("copies", [90, 200])
+def test_copies_do_not_matter(documents, copies):
+    """A passage of which an early document holds a part goes whole, however many documents hold it."""
+    passage = [line(i, 11) for i in range(5)]
+    docs = [(0, "\n".join([line(10), *passage[:3], line(11)]))]
+    docs += [(d, "\n".join([line(100 + d, 5), *passage])) for d in range(1, copies + 1)]
+    gone = gone_of(line_dedup.remove(documents(docs)))
+    assert gone == {0: [], 1: [1, 2, 3]} | {d: [1, 2, 3, 4, 5] for d in range(2, copies + 1)}
+
+
 def test_patience_alignment():
     assert line_dedup.align([1, 2, 3, 4], [1, 9, 3, 4]) == [(0, 0), (2, 2), (3, 3)]
     assert line_dedup.align([5, 1, 5, 2], [1, 2, 5]) == [(1, 0), (3, 1)]
