@@ -6,7 +6,8 @@ documents that hold a run the earliest stands for all others, so a run of any fr
 document one partner, and no cap is needed. Each pair's lines are aligned by patience diff: lines that are rare, that is
 unique in both documents, are matched in their longest common order, then what lies between is aligned
 in the same way. Aligned blocks of enough words are deleted from the later document; the rest is
-aligned again until nothing is left, so passages in another order are found too.
+aligned again until nothing is found, so passages in another order are found too. Alignment cannot tell
+apart what a document holds twice, nor find passages that overlap, so runs decide about lines that are left.
 
 Documents are ordered by id and then by a hash of the text. What is deleted from a document lies in an
 earlier one; the earliest holder of a passage keeps it.
@@ -120,9 +121,19 @@ def common_blocks(later: list[int], words: list[int], earlier: list[int], least:
             break
         gone += found
         left = sorted(set(left) - set(found))
+    if left:
+        gone = sorted({*gone, *held_runs(later, words, earlier, least)})
     return sorted(gone)
 
 
+def held_runs(later: list[int], words: list[int], earlier: list[int], least: int) -> list[int]:
+    """Positions of the lines of ``later`` in runs that ``earlier`` holds at any place."""
+    known = dict(zip(later, words))
+    counted = [known.get(line, least) for line in earlier]  # a run with a line that ``later`` lacks matches nothing
+    held = {tuple(earlier[a:b]) for a, b in runs(counted, least)}
+    return sorted({i for a, b in runs(words, least) if tuple(later[a:b]) in held for i in range(a, b)})
+
+
 def repeated(docs: DataFrame, least: int, id: str, text: str) -> DataFrame:
     """For each document (id, key) with repeated passages the positions of their lines among its lines."""
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).where("id is not null")

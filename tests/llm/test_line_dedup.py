@@ -98,6 +98,27 @@ def test_copies_do_not_matter(documents, copies):
     assert gone == {0: [], 1: [1, 2, 3]} | {d: [1, 2, 3, 4, 5] for d in range(2, copies + 1)}
 
 
+def test_passages_held_twice_or_overlapping(documents):
+    p, q, r, s = ([line(k + i) for i in range(4)] for k in (10, 20, 30, 40))
+    own = [line(100 + i, 6) for i in range(20)]
+    parts = [[own[0], *p, own[1], *p, own[2]], [own[3], *p, own[4]], [own[5], *p, own[6]]]  # twice in the earlier one
+    parts += [[own[7], *q, own[8]], [*q, own[9], *q]]  # twice in the later one
+    parts += [[*r[:3], own[10], *r[1:], own[11]], [own[12], *r, own[13]]]  # two passages that overlap in the later one
+    parts += [[*s, own[14], *s], [own[15], *s, own[16], *s]]  # twice in both
+    docs = [(i, "\n".join(part)) for i, part in enumerate(parts)]
+    gone = gone_of(line_dedup.remove(documents(docs)))
+    assert gone == expected_of(docs)
+    assert [gone[i] for i in (1, 2, 4, 6, 8)] == [[1, 2, 3, 4], [1, 2, 3, 4], [0, 1, 2, 3, 5, 6, 7, 8], [1, 2, 3, 4], [1, 2, 3, 4, 6, 7, 8, 9]]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_few_lines_in_many_orders(documents, seed):
+    random.seed(seed)
+    known = [line(i, random.randint(3, 30)) for i in range(12)]
+    docs = [(d, "\n".join(random.choices(known, k=random.randint(2, 30)))) for d in range(40)]
+    assert gone_of(line_dedup.remove(documents(docs))) == expected_of(docs)
+
+
 def test_patience_alignment():
     assert line_dedup.align([1, 2, 3, 4], [1, 9, 3, 4]) == [(0, 0), (2, 2), (3, 3)]
     assert line_dedup.align([5, 1, 5, 2], [1, 2, 5]) == [(1, 0), (3, 1)]
