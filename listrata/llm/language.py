@@ -134,7 +134,8 @@ def train(rows: DataFrame, centroids: int = 4, sample: int = SAMPLE) -> Model:
     """
     rows = rows.where("lang is not null and text is not null")
     weights = frequencies(rows)
-    share = rows.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("share"))
+    distinct = rows.select("lang", F.xxhash64("text").alias("hash")).distinct()  # copies of a text count once, as they are chosen once
+    share = distinct.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("share"))
     chosen = (
         rows.join(stored(share, "languages"), "lang")  # one row per language, so Spark broadcasts it unless they are very many
         .where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("share") * (1 << 30))

@@ -40,6 +40,14 @@ def test_foreign_texts_are_rejected(spark):
     assert np.mean([r["rejected"] for r in found if r["doc_id"] < 900]) < 0.05
 
 
+def test_copies_do_not_shrink_the_sample(spark):
+    """A language of few texts with many copies is learnt from all of these texts."""
+    rows = [(prose(lang, 40, i % 3), f"{lang}{k}") for lang in SYLLABLES for k in range(4) for i in range(300)]
+    rows += [(prose("aa", 40, i), "many") for i in range(400)]
+    model = language.train(spark.createDataFrame(rows, "text string, lang string"), centroids=1, sample=5)
+    assert sorted(set(model.names)) == sorted({lang for _, lang in rows})
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id bigint, text string, lang string")
     row, = language.identify(docs, F.lit(True)).collect()
