@@ -39,3 +39,42 @@ def test_stages(spark):
 
 def test_run_is_the_stages(spark):
     assert set(corpus_pipeline.run(spark, FOLDER).columns) >= {"doc_id", "start", "length", "sequence_id", "offset"}
+
+
+def test_line_dedup_stage_against_brute_force(spark):
+    """Each document of the stage's input loses exactly the lines that brute force finds."""
+    from test_line_dedup import line, runs
+
+    stages = dict(corpus_pipeline.STAGES)
+    frame = stages["toxicity"](spark, spark.read.parquet(f"{FOLDER}/documents.parquet"), FOLDER)
+    docs = frame.toPandas()
+    p, q = ([line(k + i) for i in range(4)] for k in (10, 20))
+    own = [line(100 + i, 6) for i in range(9)]
+    parts = [[own[0], *p, own[1], *p, own[2]], [own[3], *p, own[4]], [*p, own[5], *p]]  # held twice on either side
+    parts += [[q[0], own[6], *q[1:3], own[7], q[3]], [own[8], *q], [*q, own[0]]]  # lines held scattered before
+    extra = docs.iloc[[0] * len(parts)].assign(doc_id=[docs.doc_id.max() + 1 + i for i in range(len(parts))], text=["\n".join(x) for x in parts])
+    given = pd.concat([docs, extra])
+    out = stages["line_dedup"](spark, spark.createDataFrame(given, frame.schema), FOLDER).toPandas()
+    assert len(out) == len(given)
+    texts = dict(zip(out.doc_id, out.text))
+    held = [(d, line_dedup.lines(t)) for d, t in sorted(zip(given.doc_id, given.text))]
+    removed = 0
+    for i, (d, own_lines) in enumerate(held):
+        gone = set()
+        for _, earlier in held[:i]:
+            if not set(own_lines).isdisjoint(earlier):
+                gone |= runs(own_lines, earlier, line_dedup.LEAST_WORDS)
+        assert line_dedup.lines(texts[d]) == [x for k, x in enumerate(own_lines) if k not in gone], d
+        removed += len(gone)
+    assert removed > 20
+
+
+def test_rows_of_run(spark):
+    """``run`` gives the rows of the stages applied by hand."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, FOLDER)
+        docs = spark.createDataFrame(out.toPandas(), out.schema)
+    by_hand, whole = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER), corpus_pipeline.run(spark, FOLDER)
+    assert whole.columns == by_hand.columns and by_hand.count() > 0
+    assert sorted(map(str, whole.collect())) == sorted(map(str, by_hand.collect()))
