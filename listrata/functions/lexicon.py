@@ -68,7 +68,8 @@ SPACE = r"\t-\r\x1c- \x85\p{Z}"
 MARK = r"!-/:-@\[-`{-~"
 # A word of more than two signs between marks; its marks are stripped.
 MARKED_WORD = rf"(?<![^{SPACE}])[{MARK}]*([^{SPACE}{MARK}][^{SPACE}]+[^{SPACE}{MARK}])[{MARK}]*(?![^{SPACE}])"
-WORD = r"\p{L}+(?:['’-]\p{L}+)*"
+# Possessive, as other loops take stack for each part of a chain.
+WORD = r"\p{L}++(?:['’-]\p{L}++)*+"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
