@@ -8,6 +8,7 @@ line that ends in a zero byte: zero bytes after a gzip stream are padding by its
 from __future__ import annotations
 
 import hashlib
+import json
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listrata.llm.frames import slices, stored
+from listrata.sources.files import path_exists
 from listrata.sources.workspace import new_folder
 
 #: Uncompressed bytes after which an archive is closed; bounds what a task holds.
@@ -70,7 +72,12 @@ def _inflated(content: bytes, step: int = 1 << 20) -> Iterator[bytes]:
 
 def records(content: bytes) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
     """Headers, block and raw bytes of each record of an archive, streamed."""
-    buffer, parts = bytearray(), _inflated(content)
+    return parsed(_inflated(content))
+
+
+def parsed(parts: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
+    """The same of records whose inflated bytes come part by part."""
+    buffer, parts = bytearray(), iter(parts)
 
     def more() -> bool:
         part = next(parts, None)
@@ -117,7 +124,8 @@ def decide(pages: DataFrame, page_id: str, url: str, html: str, least: int) -> D
         .agg(F.min("page_id").alias("original"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows")
     )
     joined = rows.join(stored(repeated, "digests"), "digest", "left")
-    return joined.withColumn("revisit", F.col("original").isNotNull() & ~F.col("original").eqNullSafe(F.col("page_id")))
+    revisit = F.coalesce(F.col("original") != F.col("page_id"), F.lit(False))
+    return joined.withColumn("original", F.when(revisit, F.col("original"))).withColumn("revisit", revisit)
 
 
 def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
@@ -148,42 +156,65 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
     _write_files(pages.mapInArrow(run, "archive string, content binary"), folder)
 
 
-def _write_files(archives: DataFrame, folder: str) -> None:
-    lines = archives.select("archive", F.col("content").cast("string").alias("value"))
-    lines.write.mode("overwrite").option("lineSep", "\0").partitionBy("archive").text(folder)
+def _write_files(files: DataFrame, folder: str, *by: str) -> None:
+    lines = files.select(*by, "archive", F.col("content").cast("string").alias("value"))
+    lines.write.mode("overwrite").option("lineSep", "\0").partitionBy(*by, "archive").text(folder)
 
 
 def _read_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = spark.read.format("binaryFile")
+    if "archive" not in files.load(folder).columns:  # no archive at all
+        return spark.createDataFrame([], "archive string, content binary")
     schema = "path string, modificationTime timestamp, length bigint, content binary, archive string"
-    return spark.read.format("binaryFile").schema(schema).load(folder).select("archive", "content")
+    return files.schema(schema).load(folder).select("archive", "content")
+
+
+INDEX = (
+    "archive string, offset bigint, length bigint, page_id bigint, payload_bytes bigint, payload_digest string, "
+    "record_type string, refers_to bigint"
+)
+#: Where the archives and the sidecar lie below a normalised folder.
+ARCHIVES, SIDECAR = "kind=archives", "kind=index"
 
 
 def normalise(spark: SparkSession, source: str, target: str) -> None:
     """Rewrite the archives below ``source`` with every record as a gzip member of its own.
 
-    Each archive is inflated once, as a stream; archives are independent of one another.
+    Each archive is inflated once, as a stream; archives are independent of one another. While it is
+    rewritten, each record's offset, length and description go to the archive's sidecar, one JSON object
+    per record, ended by a zero byte.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(kind: str, name: str, contents: list[bytes]) -> pa.RecordBatch:
+            n = len(contents)
+            return pa.RecordBatch.from_pydict({"kind": [kind] * n, "archive": [name] * n, "content": pa.array(contents, pa.binary())})
+
         for batch in batches:
             for i in range(batch.num_rows):
-                out = b"".join(member(raw) for _, _, raw in records(batch.column("content")[i].as_py()))
-                yield pa.RecordBatch.from_pydict(
-                    {"archive": batch.column("archive").slice(i, 1), "content": pa.array([out], pa.binary())}
-                )
+                name, members, entries, offset = batch.column("archive")[i].as_py(), [], [], 0
+                for headers, block, raw in records(batch.column("content")[i].as_py()):
+                    members.append(member(raw))
+                    entry = {"offset": offset, "length": len(members[-1]), **described(headers, block)}
+                    entries.append(json.dumps(entry).encode())
+                    offset += entry["length"]
+                yield rows("archives", name, [b"".join(members)])
+                yield rows("index", name, entries)
 
-    _write_files(_read_files(spark, source).mapInArrow(run, "archive string, content binary"), target)
+    files = _read_files(spark, source).mapInArrow(run, "kind string, archive string, content binary")
+    _write_files(files, target, "kind")
 
 
-INDEX = (
-    "archive string, offset bigint, length bigint, page_id bigint, payload_bytes bigint, payload_digest string, "
-    "record_type string, refers_to bigint"
-)
+def sidecar(spark: SparkSession, folder: str) -> DataFrame:
+    """The index (``INDEX``) that ``normalise`` wrote beside the archives of ``folder``."""
+    at = f"{folder}/{SIDECAR}"
+    if not path_exists(spark, at):
+        return spark.createDataFrame([], INDEX)
+    return spark.read.schema(INDEX).option("lineSep", "\0").json(at)
 
 
-def described(content: bytes) -> dict:
+def described(headers: dict[str, str], block: bytes) -> dict:
     """What one record says of itself; the payload of a response is checked against its digest."""
-    (headers, block, _), = records(content)
     head, _, payload = block.partition(b"\r\n\r\n")
     lines = dict(line.lower().split(": ", 1) for line in head.decode("latin-1").split("\r\n")[1:])
     digest = headers["warc-payload-digest"].removeprefix("sha256:")
@@ -195,55 +226,72 @@ def described(content: bytes) -> dict:
     }
 
 
-def members(content: bytes) -> Iterator[tuple[int, bytes]]:
-    """Offset and compressed bytes of each gzip member."""
+def members(content: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """Offset, length and inflated bytes of each gzip member."""
     offset, view = 0, memoryview(content)
     while offset < len(content) and content[offset]:
-        stream, at, step = zlib.decompressobj(_GZIP), offset, 1 << 16
+        stream, at, step, parts = zlib.decompressobj(_GZIP), offset, 1 << 16, []
         while not stream.eof:
             part = view[at:at + step]
             if not part:
                 raise ValueError("an archive ends inside a gzip stream")
-            stream.decompress(part)
+            parts.append(stream.decompress(part))
             at += len(part)
         at -= len(stream.unused_data)
-        yield offset, bytes(view[offset:at])
+        yield offset, at - offset, b"".join(parts)
         offset = at
 
 
 def read_back(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per record of normalised archives: where its member lies and what it says (``INDEX``)."""
+    """One row per record of normalised archives, from the archives alone: where its member lies and what it says (``INDEX``)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 name, content = batch.column("archive")[i].as_py(), batch.column("content")[i].as_py()
-                rows = [{"archive": name, "offset": at, "length": len(m), **described(m)} for at, m in members(content)]
+                rows = []
+                for at, length, raw in members(content):
+                    (headers, block, _), = parsed([raw])
+                    rows.append({"archive": name, "offset": at, "length": length, **described(headers, block)})
                 yield pa.RecordBatch.from_pylist(rows, schema=index)
 
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
     index = to_arrow_schema(T.StructType.fromDDL(INDEX))
-    return _read_files(spark, folder).mapInArrow(run, INDEX)
+    return _read_files(spark, f"{folder}/{ARCHIVES}").mapInArrow(run, INDEX)
+
+
+def _sum(index: DataFrame) -> tuple:
+    """Count and sum of hashes of an index: equal for equal rows in any order."""
+    names = index.columns
+    return tuple(index.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*names).cast("decimal(38,0)"))).first())
 
 
 def archive_pages(
     pages: DataFrame, folder: str | None = None, page_id: str = "page_id", url: str = "url", html: str = "html",
     archive_bytes: int = ARCHIVE_BYTES, least: int = LEAST_REVISIT,
 ) -> DataFrame:
-    """Write a WARC record per page, normalise the archives, write and return their index.
+    """Write a WARC record per page, normalise the archives, read them back and return their index.
 
     Below ``folder`` (a fresh one below ``spark.checkpoint.dir`` by default) lie ``streams`` (archives as
-    single gzip streams), ``archives`` (normalised) and ``index`` (Parquet, ``INDEX``). Of pages with
-    equal payloads of at least ``least`` bytes the one with the smallest id is a response, others revisit
-    it; rows that repeat this id are responses too. A null html is an empty payload, a null url is left
-    out, a null id is written as an empty one and never revisited. Other columns are not looked at. An
+    single gzip streams), ``normal`` (archives with a member per record and, beside them, the sidecar) and
+    ``index`` (Parquet, ``INDEX``), which is what the archives say when they are read back; it raises
+    ``ValueError`` if the sidecar says anything else. Of pages with equal payloads of at least ``least``
+    bytes the one with the smallest id is a response, others revisit it; rows that repeat this id are
+    responses too. A null html is an empty payload, a null url is left out. A page with a null id is
+    written with an empty one; it is a response and never referred to. Other columns are not looked at. An
     empty table gives empty folders and an empty index.
     """
     spark = pages.sparkSession
     folder = folder or new_folder(spark, "llm-warc")
     write_archives(decide(pages, page_id, url, html, least), f"{folder}/streams", archive_bytes)
-    normalise(spark, f"{folder}/streams", f"{folder}/archives")
-    read_back(spark, f"{folder}/archives").write.mode("overwrite").parquet(f"{folder}/index")
-    return spark.read.schema(INDEX).parquet(f"{folder}/index")
+    normalise(spark, f"{folder}/streams", f"{folder}/normal")
+    if path_exists(spark, f"{folder}/normal/{ARCHIVES}"):
+        read_back(spark, f"{folder}/normal").write.mode("overwrite").parquet(f"{folder}/index")
+    else:
+        spark.createDataFrame([], INDEX).write.mode("overwrite").parquet(f"{folder}/index")
+    index = spark.read.schema(INDEX).parquet(f"{folder}/index")
+    if _sum(index) != _sum(sidecar(spark, f"{folder}/normal").select(*index.columns)):
+        raise ValueError(f"sidecar and archives differ below {folder}")
+    return index

@@ -48,7 +48,7 @@ def test_round_trip(spark, tmp_path, size):
     assert rows_of(index) == expected(rows)
     bodies = {(h or "").encode() for _, _, h in rows}
     for r in index.collect():  # the sidecar leads to each record, which is a gzip member of its own
-        path, = (tmp_path / "w" / "archives" / f"archive={r['archive']}").glob("part-*")
+        path, = (tmp_path / "w" / "normal" / "kind=archives" / f"archive={r['archive']}").glob("part-*")
         member = path.read_bytes()[r["offset"]:r["offset"] + r["length"]]
         (headers, block, _), = warc.records(member)
         assert gzip.decompress(member).startswith(b"WARC/1.1\r\n")
@@ -67,9 +67,20 @@ def test_null_id_and_empty_table(spark):
 
 
 def test_broken_archives():
+    def described(content):
+        (headers, block, _), = warc.records(content)
+        return warc.described(headers, block)
+
     good = warc.member(warc.record(1, "u", b"abc", hashlib.sha256(b"abc").hexdigest(), None, False))
-    assert warc.described(good)["page_id"] == 1
+    assert described(good)["page_id"] == 1
     with pytest.raises(ValueError):
         list(warc.records(good[:-12]))
     with pytest.raises(ValueError):
-        warc.described(warc.member(warc.record(1, "u", b"abc", "0" * 64, None, False)))
+        described(warc.member(warc.record(1, "u", b"abc", "0" * 64, None, False)))
+
+
+def test_sidecar(spark, tmp_path):
+    """What is written while an archive is rewritten is what the archive says when it is read back."""
+    index = warc.archive_pages(pages(spark, sample()), f"file://{tmp_path}/w", archive_bytes=1000)
+    beside = warc.sidecar(spark, f"file://{tmp_path}/w/normal").select(*index.columns)
+    assert index.count() == len(sample()) and index.exceptAll(beside).count() == 0
