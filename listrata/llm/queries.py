@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listrata.llm import (
-    decontamination, embeddings, language, line_dedup, near_duplicates, packing, personal_data, token_counts, toxicity, warc,
+    decontamination, embeddings, language, line_dedup, manifest, near_duplicates, packing,
+    personal_data, sharding, token_counts, toxicity, warc,
 )
 from listrata.llm.registry import query
 
@@ -82,3 +83,13 @@ def op9_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_language")
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(read(spark, folder, "documents"), fold(4) != 2)
+
+
+@query("op11_sharding")
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(read(spark, folder, "documents"))
+
+
+@query("op12_manifest")
+def op12_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.audit(read(spark, folder, "documents"), fold(2) == 0, F.replace("text", F.lit("\n"), F.lit("")))
