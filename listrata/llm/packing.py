@@ -48,6 +48,16 @@ class Known(dict):
         return value
 
 
+def ranked_encoder(path: str) -> Callable[[str], list[int]] | None:
+    """Ids of a text by the faster library, special strings as plain text; none if ids don't follow the merges."""
+    merges = Merges(path)
+    if not merges.in_order:
+        return None
+    from tiktoken import Encoding
+
+    return Encoding("ranked", pat_str=PATTERN, mergeable_ranks=merges.token_bytes(), special_tokens={}).encode_ordinary
+
+
 class Encoder:
     """Token ids of texts as the vocabulary's own library gives them; remembers pre-tokens.
 
@@ -61,20 +71,11 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known = Known(self._ranked(path) or self._plain)
+        self.known = Known(ranked_encoder(path) or self._plain)
 
     def _plain(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    @staticmethod
-    def _ranked(path: str) -> Callable[[str], list[int]] | None:
-        merges = Merges(path)
-        if not merges.in_order:
-            return None
-        from tiktoken import Encoding
-
-        return Encoding("ranked", pat_str=PATTERN, mergeable_ranks=merges.token_bytes(), special_tokens={}).encode_ordinary
-
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         known, out = self.known, []

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listrata.llm import (
-    decontamination, embeddings, language, line_dedup, manifest, near_duplicates, packing,
+    alignment, decontamination, embeddings, language, line_dedup, manifest, near_duplicates, packing,
     personal_data, sharding, token_counts, toxicity, warc,
 )
 from listrata.llm.registry import query
@@ -93,3 +93,8 @@ def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_manifest")
 def op12_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.audit(read(spark, folder, "documents"), fold(2) == 0, F.replace("text", F.lit("\n"), F.lit("")))
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(read(spark, folder, "documents"), tokenizer(), tokenizer("piece_bpe_32k.model"))
