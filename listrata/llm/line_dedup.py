@@ -3,11 +3,14 @@
 Every line is known by a hash, and so is every run: the fewest lines in a row, from a line forward or
 backward, that hold enough words. A passage is repeated where runs are, and its runs cover it. Of the
 documents that hold a run the earliest stands for all others, so a run of any frequency gives each
-document one partner, and no cap is needed. Each pair's lines are aligned by patience diff: lines that are rare, that is
-unique in both documents, are matched in their longest common order, then what lies between is aligned
-in the same way. Aligned blocks of enough words are deleted from the later document; the rest is
-aligned again until nothing is found, so passages in another order are found too. Alignment cannot tell
-apart what a document holds twice, nor find passages that overlap, so runs decide about lines that are left.
+document one partner, and no cap is needed. (Single rare lines, the usual key, miss passages whose lines
+have different earliest holders, so they cannot give whole results here.)
+
+Each pair's lines are aligned by patience diff: lines that are rare, that is unique in both documents, are
+matched in their longest common order, then what lies between is aligned in the same way. A match stands
+for the block around it; blocks of enough words are deleted from the later document. Passages in another
+order are aligned in further rounds. Only lines that alignment cannot decide, those of ranges without a
+unique line and those that the earlier document holds several times, are looked up by the runs they are in.
 
 Documents are ordered by id and then by a hash of the text. What is deleted from a document lies in an
 earlier one; the earliest holder of a passage keeps it.
@@ -18,6 +21,7 @@ from __future__ import annotations
 import hashlib
 from array import array
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from itertools import accumulate
 
 from pyspark.sql import DataFrame
@@ -27,6 +31,8 @@ from listrata.llm.frames import free_name, map_batches, stored
 
 #: Words that a deleted block holds at least.
 LEAST_WORDS = 25
+#: Alignments of a pair after which crossing passages are left to their runs; without effect on results.
+ROUNDS = 32
 
 
 def lines(text: str | None) -> list[str]:
@@ -84,9 +90,11 @@ def _unique(values: list[int], start: int, end: int) -> dict[int, int]:
     return {v: i for v, i in found.items() if i >= 0}
 
 
-def align(first: list[int], second: list[int]) -> list[tuple[int, int]]:
-    """Matched positions of two sequences by patience diff, rising in both."""
-    out, open_parts = [], [(0, len(first), 0, len(second))]
+def align(first: list[int], second: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Matched positions of two sequences by patience diff, rising in both, and the ranges (start, end) of
+    ``first`` that share lines with the range of ``second`` against which they stand, but none that is unique
+    on either side."""
+    out, barren, open_parts = [], [], [(0, len(first), 0, len(second))]
     while open_parts:
         a, b, c, d = open_parts.pop()
         while a < b and c < d and first[a] == second[c]:
@@ -95,43 +103,70 @@ def align(first: list[int], second: list[int]) -> list[tuple[int, int]]:
         while a < b and c < d and first[b - 1] == second[d - 1]:
             b, d = b - 1, d - 1
             out.append((b, d))
-        there = _unique(second, c, d) if a < b and c < d else {}
-        rare = sorted((i, there[v]) for v, i in _unique(first, a, b).items() if v in there) if there else []
+        if a == b or c == d:
+            continue
+        there = _unique(second, c, d)
+        rare = sorted((i, there[v]) for v, i in _unique(first, a, b).items() if v in there)
         chosen = [rare[k] for k in _rising([j for _, j in rare])]
         for (i, j), (k, m) in zip([(a, c), *chosen], [*chosen, (b, d)]):
             if chosen:
                 open_parts.append((i, k, j, m))
-    return sorted(out)
+        if not chosen and not set(second[c:d]).isdisjoint(first[a:b]):
+            barren.append((a, b))
+    return sorted(out), sorted(barren)
 
 
 def common_blocks(later: list[int], words: list[int], earlier: list[int], least: int) -> list[int]:
-    """Positions of the lines of ``later`` in blocks of at least ``least`` words that ``earlier`` holds too."""
-    left, gone = list(range(len(later))), []
-    while left:
-        blocks: list[list[int]] = []
-        before = (-2, -2)
-        for i, j in align([later[k] for k in left], earlier):
-            if (left[i], j) == (before[0] + 1, before[1] + 1):
-                blocks[-1].append(left[i])
-            else:
-                blocks.append([left[i]])
-            before = (left[i], j)
-        found = [k for block in blocks if sum(words[k] for k in block) >= least for k in block]
-        if not found:
+    """Positions of the lines of ``later`` in blocks of at least ``least`` words that ``earlier`` holds too.
+
+    Each round aligns the lines that are open and extends every match to the whole block around it, which
+    goes if it has enough words. A line that ``earlier`` holds once is decided by its match. What crosses a
+    match is aligned in the next round. Lines that alignment cannot decide, as it finds them in a range
+    without a unique line or as ``earlier`` holds them elsewhere too, are left to their runs.
+    """
+    times = Counter(earlier)
+    total = [0, *accumulate(words)]
+    gone: set[int] = set()
+    undecided: set[int] = set()
+    left = [i for i, line in enumerate(later) if line in times]
+    last: dict[int, range] = {}  # per diagonal, the block that was last extended
+    for _ in range(ROUNDS):
+        matched, barren = align([later[k] for k in left], earlier)
+        if not matched and not barren:
             break
-        gone += found
-        left = sorted(set(left) - set(found))
-    if left:
-        gone = sorted({*gone, *held_runs(later, words, earlier, least)})
+        done = {left[i] for start, end in barren for i in range(start, end)}
+        undecided |= done
+        for i, j in matched:
+            k = left[i]
+            done.add(k)
+            if times[later[k]] > 1:
+                undecided.add(k)
+            if k in last.get(k - j, ()):
+                continue
+            start = end = 0
+            while k - start > 0 and j - start > 0 and later[k - start - 1] == earlier[j - start - 1]:
+                start += 1
+            while k + end < len(later) and j + end < len(earlier) and later[k + end] == earlier[j + end]:
+                end += 1
+            block = last[k - j] = range(k - start, k + end)
+            if total[block.stop] - total[block.start] >= least:
+                gone.update(block)
+        left = [k for k in left if k not in done and k not in gone]
+    else:
+        undecided |= set(left)  # very many passages that cross: their runs find the same
+    undecided -= gone
+    if undecided:
+        gone |= held_runs(later, words, earlier, least, undecided)
     return sorted(gone)
 
 
-def held_runs(later: list[int], words: list[int], earlier: list[int], least: int) -> list[int]:
-    """Positions of the lines of ``later`` in runs that ``earlier`` holds at any place."""
+def held_runs(later: list[int], words: list[int], earlier: list[int], least: int, wanted: set[int]) -> set[int]:
+    """Positions of the lines of ``later`` in runs with a ``wanted`` line that ``earlier`` holds at any place."""
     known = dict(zip(later, words))
     counted = [known.get(line, least) for line in earlier]  # a run with a line that ``later`` lacks matches nothing
     held = {tuple(earlier[a:b]) for a, b in runs(counted, least)}
-    return sorted({i for a, b in runs(words, least) if tuple(later[a:b]) in held for i in range(a, b)})
+    found = ((a, b) for a, b in runs(words, least) if not wanted.isdisjoint(range(a, b)))
+    return {i for a, b in found if tuple(later[a:b]) in held for i in range(a, b)}
 
 
 def repeated(docs: DataFrame, least: int, id: str, text: str) -> DataFrame:

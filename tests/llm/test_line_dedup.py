@@ -120,6 +120,52 @@ def test_few_lines_in_many_orders(documents, seed):
 
 
 def test_patience_alignment():
-    assert line_dedup.align([1, 2, 3, 4], [1, 9, 3, 4]) == [(0, 0), (2, 2), (3, 3)]
-    assert line_dedup.align([5, 1, 5, 2], [1, 2, 5]) == [(1, 0), (3, 1)]
-    assert line_dedup.align([], [1]) == []
+    assert line_dedup.align([1, 2, 3, 4], [1, 9, 3, 4]) == ([(0, 0), (2, 2), (3, 3)], [])
+    assert line_dedup.align([5, 1, 5, 2], [1, 2, 5]) == ([(1, 0), (3, 1)], [])
+    assert line_dedup.align([7, 7, 1, 7], [8, 7, 7, 8]) == ([], [(0, 4)])
+    assert line_dedup.align([], [1]) == ([], [])
+
+
+def pair(seed, distinct):
+    random.seed(seed)
+    known = [(i, random.randint(3, 12)) for i in range(distinct)]
+    later, earlier = (random.choices(known, k=random.randint(5, 40)) for _ in range(2))
+    for _ in range(3):  # passages, each in another place
+        passage = [(1000 + seed * 10 + random.randint(0, 5), 7) for _ in range(random.randint(2, 8))]
+        for side in (later, earlier):
+            at = random.randint(0, len(side))
+            side[at:at] = passage
+    return later, earlier
+
+
+@pytest.mark.parametrize("distinct", [6, 30, 1000])
+def test_blocks_of_pairs_against_brute_force(distinct, monkeypatch):
+    """Every line in a row of enough words that the other document holds at any place, and no other."""
+    def texts(side):
+        return [" ".join([f"w{i}"] * n) for i, n in side]
+
+    for seed in range(150):
+        later, earlier = pair(seed, distinct)
+        # words belong to a line, so the first count of a line holds on both sides
+        known = dict(reversed([*later, *earlier]))
+        later, earlier = ([(i, known[i]) for i, _ in side] for side in (later, earlier))
+        args = [i for i, _ in later], [n for _, n in later], [i for i, _ in earlier], 25
+        expected = sorted(runs(texts(later), texts(earlier), 25))
+        assert line_dedup.common_blocks(*args) == expected, seed
+        monkeypatch.setattr(line_dedup, "ROUNDS", 1)
+        assert line_dedup.common_blocks(*args) == expected, seed
+        monkeypatch.undo()
+
+
+def test_alignment_decides(monkeypatch):
+    """Without alignment nothing goes; where it finds unique lines, runs are not asked."""
+    passage, other = list(range(6)), [20, 21, 22]
+    later, earlier = [50, *passage, 51, *other, 52], [*other, 60, 61, *passage, 62]
+    args = later, [9] * len(later), earlier, 25
+    assert line_dedup.common_blocks(*args) == [1, 2, 3, 4, 5, 6, 8, 9, 10]
+    with monkeypatch.context() as m:
+        m.setattr(line_dedup, "align", lambda first, second: ([], []))
+        assert line_dedup.common_blocks(*args) == []
+    with monkeypatch.context() as m:
+        m.setattr(line_dedup, "held_runs", lambda *a: pytest.fail("runs are asked"))
+        assert line_dedup.common_blocks(*args) == [1, 2, 3, 4, 5, 6, 8, 9, 10]
