@@ -3,7 +3,8 @@
 Both tokenizers spell the same bytes, so a token is the range of bytes up to its end. Per document a
 dictionary leads from each end to the number of tokens up to it, for either side; the ends that both
 dictionaries have, sorted, cut both lists of ids into groups. Within a group, tokens whose ranges overlap
-are linked.
+are linked. Texts are cut into units at spaces, where both sides end a token, so that a word that has been
+seen is not encoded and aligned again.
 
 How often two ids are linked in the whole corpus is counted in two steps. Tasks gather documents in
 chunks of bounded size and write, for each chunk, its distinct pairs and how often they occur, and for
@@ -16,8 +17,11 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +32,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from listrata.llm.frames import map_batches, slices, stored
-from listrata.llm.packing import Known, ranked_encoder
-from listrata.llm.token_counts import REMEMBERED, byte_symbols, pre_tokens
+from listrata.llm.packing import ranked_encoder
+from listrata.llm.token_counts import byte_symbols
 
 #: Links of a chunk at most, unless a single document has more; bounds what a task holds.
 CHUNK_LINKS = 4_000_000
@@ -37,6 +41,13 @@ CHUNK_LINKS = 4_000_000
 WIDTH = 1 << 31
 
 
+#: Units whose alignment a task remembers, and the longest such unit; speed settings without effect on results.
+KNOWN_UNITS, LONGEST_KNOWN = 250_000, 64
+#: From a space after a sign that is no white space up to the next such space. No token of either side
+#: reaches over the beginning of a unit.
+_UNITS = re.compile(r" \s*[^ ]*(?:(?<=\s) \s*[^ ]*)*")
+
+
 class ByteLevel:
     """A byte-level vocabulary: ids of texts with special strings as plain text, and the bytes of each id."""
 
@@ -46,37 +57,35 @@ class ByteLevel:
 
         library = Tokenizer.from_file(path)
         library.encode_special_tokens = True
-        self.known = Known(ranked_encoder(path) or (lambda t: library.encode(t, add_special_tokens=False).ids))
+        self.encode = ranked_encoder(path) or (lambda t: library.encode(t, add_special_tokens=False).ids)
         bytes_of = {symbol: byte for byte, symbol in byte_symbols().items()}
         vocabulary = library.get_vocab(with_added_tokens=True)
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, number in vocabulary.items():
             self.bytes[number] = bytes(bytes_of[c] for c in token) if all(c in bytes_of for c in token) else token.encode()
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out = []
-        for text in texts:
-            out.append(np.frombuffer(b"".join(map(self.known.__getitem__, pre_tokens(text))), "<u4").astype(np.int64))
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-        return out
-
 
 class Pieces:
-    """A vocabulary of pieces with byte fallback; the library itself puts a space before a text."""
+    """A vocabulary of pieces with byte fallback; the library itself puts a space before a text.
+
+    ``in_units``: spaces stand only at the beginning of pieces, so that a text's ids are those of its units.
+    """
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
         self.library = SentencePieceProcessor(model_file=path)
-        ids = range(self.library.get_piece_size())
+        pieces = list(map(self.library.id_to_piece, range(self.library.get_piece_size())))
         self.bytes = [
-            bytes([int(p[3:5], 16)]) if self.library.is_byte(i) else p.replace("▁", " ").encode()
-            for i, p in zip(ids, map(self.library.id_to_piece, ids))
+            bytes([int(p[3:5], 16)]) if self.library.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
+        self.in_units = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.space = [self.library.piece_to_id("▁")]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(ids, np.int64) for ids in self.library.encode(texts, num_threads=1)]
+    def encode(self, spaced: list[str]) -> list[list[int]]:
+        """Ids of texts that begin with the space that the library would put there."""
+        ids = self.library.encode([t[1:] for t in spaced], num_threads=1)
+        return [self.space if t == " " else i for t, i in zip(spaced, ids)]  # the library puts none before an empty text
 
 
 def common_ends(first: dict[int, int], second: dict[int, int]) -> list[int]:
@@ -91,21 +100,18 @@ def slices_of(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int]]:
     return [(first[end], second[end]) for end in common_ends(first, second)]
 
 
-def links_of(ends_a: list[int], ends_b: list[int], cuts: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+def links_of(ends_a: list[int], ends_b: list[int], cuts: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
     """Places of the tokens of all overlapping pairs, slice by slice."""
-    left, right, i, j = [], [], 0, 0
+    i = j = 0
     for stop_i, stop_j in cuts:
-        while True:
-            left.append(i)
-            right.append(j)
+        yield i, j
+        while ends_a[i] != ends_b[j]:
             if ends_a[i] < ends_b[j]:
                 i += 1
-            elif ends_a[i] > ends_b[j]:
-                j += 1
             else:
-                break
+                j += 1
+            yield i, j
         i, j = stop_i, stop_j
-    return left, right
 
 
 def spelt(cuts: list[tuple[int, int]], a: list[str], b: list[str]) -> str:
@@ -120,29 +126,47 @@ def spelt(cuts: list[tuple[int, int]], a: list[str], b: list[str]) -> str:
     return ";".join(out)
 
 
+#: The alignment of a unit: its groups as text, the pairs of its links as bytes of 64-bit numbers, and how
+#: many ids of either side and groups it has. Plain tuples of plain values cost the garbage collector nothing.
+Unit = tuple[str, bytes, int, int, int]
+
+
 class Aligner:
-    """Aligns texts by two vocabularies."""
+    """Aligns texts by two vocabularies, unit by unit; remembers short units."""
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
-        self.lengths_a, self.lengths_b = (np.array([len(x) for x in v.bytes], np.int64) for v in (self.a, self.b))
         self.names = [str(i) for i in range(max(len(self.a.bytes), len(self.b.bytes)))]
-
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
-        """Ids of both sides for each text; None where either does not spell the text after a space."""
-        spaced = [f" {t}" for t in texts if t]
-        both = iter(zip(spaced, self.a.encode(spaced), self.b.encode([t for t in texts if t])))
-        for text in texts:
-            if not text:
-                yield None
-                continue
-            whole, a, b = next(both)
-            data = whole.encode("utf-8", "surrogatepass")
-            same = all(b"".join(map(v.bytes.__getitem__, ids.tolist())) == data for v, ids in ((self.b, b), (self.a, a)))
-            yield (a, b) if same else None
-
-    def ends(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-        return self.lengths_a[a].cumsum().tolist(), self.lengths_b[b].cumsum().tolist()
+        self.known: dict[str, Unit | None] = {}
+
+    def units(self, text: str) -> list[str]:
+        return _UNITS.findall(f" {text}") if self.b.in_units else [f" {text}"]
+
+    def aligned(self, unit: str, b: list[int]) -> Unit | None:
+        """None if either side does not spell the unit."""
+        a, data = self.a.encode(unit), unit.encode("utf-8", "surrogatepass")
+        parts_a, parts_b = list(map(self.a.bytes.__getitem__, a)), list(map(self.b.bytes.__getitem__, b))
+        if b"".join(parts_b) != data or b"".join(parts_a) != data:
+            return None
+        ends_a, ends_b = list(accumulate(map(len, parts_a))), list(accumulate(map(len, parts_b)))
+        cuts = slices_of(ends_a, ends_b)
+        pairs = array("q", [a[i] * WIDTH + b[j] for i, j in links_of(ends_a, ends_b, cuts)])
+        name = self.names.__getitem__
+        return spelt(cuts, list(map(name, a)), list(map(name, b))), pairs.tobytes(), len(a), len(b), len(cuts)
+
+    def align(self, texts: list[str | None]) -> Iterator[list[Unit] | None]:
+        """The units of each text; None for one that is null, empty or not spelt alike by both sides."""
+        split = [self.units(t) if t else [] for t in texts]
+        new = list({u for units in split for u in units if u not in self.known})
+        self.known.update((u, self.aligned(u, b)) for u, b in zip(new, self.b.encode(new)))
+        for units in split:
+            found = [self.known[u] for u in units]
+            yield found if found and None not in found else None
+        for unit in new:
+            if len(unit) > LONGEST_KNOWN:
+                del self.known[unit]
+        if len(self.known) > KNOWN_UNITS:
+            self.known.clear()
 
 
 @lru_cache(maxsize=2)
@@ -154,15 +178,10 @@ def groups(docs: DataFrame, path_a: str, path_b: str, id: str = "doc_id", text:
     """The groups themselves: id and ``groups``, an array of (a: ids, b: ids); empty for texts without tokens."""
 
     def run(columns: dict[str, list]) -> dict[str, list]:
-        tools, out = aligner(path_a, path_b), []
-        for found in tools.encode(columns["text"]):
-            rows, i, j = [], 0, 0
-            if found:
-                a, b = (x.tolist() for x in found)
-                for stop_i, stop_j in slices_of(*tools.ends(*found)):
-                    rows.append({"a": a[i:stop_i], "b": b[j:stop_j]})
-                    i, j = stop_i, stop_j
-            out.append(rows)
+        out = []
+        for units in aligner(path_a, path_b).align(columns["text"]):
+            sides = [g.split("|") for u in units or () for g in u[0].split(";")]
+            out.append([{"a": list(map(int, a.split(","))), "b": list(map(int, b.split(",")))} for a, b in sides])
         return {"id": columns["id"], "groups": out}
 
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
@@ -204,23 +223,14 @@ def _chunked(rows: DataFrame, kind: str, path_a: str, path_b: str, chunk_links:
         for batch in batches:
             for piece in slices(batch):
                 ids += piece.column(0).to_pylist()
-                for found in tools.encode(piece.column(1).to_pylist()):
-                    if found is None:
-                        facts.append((0, 0, 0, 0, ""))
-                        keys.append(np.zeros(0, np.int64))
-                        times.append(np.zeros(0, np.int64))
-                        continue
-                    a, b = found
-                    ends_a, ends_b = tools.ends(a, b)
-                    cuts = slices_of(ends_a, ends_b)
-                    left, right = links_of(ends_a, ends_b, cuts)
-                    name = tools.names.__getitem__
-                    text = spelt(cuts, list(map(name, a.tolist())), list(map(name, b.tolist())))
-                    facts.append((len(a), len(b), len(cuts), len(left), hashlib.sha256(text.encode()).hexdigest()))
-                    pairs, often = np.unique(a[left] * WIDTH + b[right], return_counts=True)
-                    keys.append(pairs)
+                for units in tools.align(piece.column(1).to_pylist()):
+                    texts, pairs, *numbers = zip(*units) if units else ((), (), (), (), ())
+                    distinct, often = np.unique(np.frombuffer(b"".join(pairs), np.int64), return_counts=True)
+                    sha = hashlib.sha256(";".join(texts).encode()).hexdigest() if units else ""
+                    facts.append((*map(sum, numbers), int(often.sum()), sha))
+                    keys.append(distinct)
                     times.append(often)
-                    links += len(pairs)
+                    links += len(distinct)
                 if links >= chunk_links:
                     yield from closed()
                     ids, facts, keys, times, links, number = [], [], [], [], 0, number + 1
