@@ -17,7 +17,7 @@ from listrata.operators import columns as cols
 from listrata.operators import rows, upsert
 from listrata.plans.recommend import of_action
 from listrata.sources import files, landing, warehouse
-from listrata.sources.workspace import new_folder
+from listrata.sources.workspace import materialize, new_folder
 
 NULL_WORDS = ", ".join(f"'{w}'" for w in files.NA_TEXTS)
 
@@ -537,6 +537,16 @@ def upsert_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.upsert_table(spark, batch, path, order_column=files.ROW_ORDER, **how)
 
 
+@query("upsert_buckets", _UPSERTED)
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same into a versioned table in hash buckets, batch by batch."""
+    path = new_folder(spark, "buckets")
+    how = {"strategy": upsert.BY_ID, "id_columns": "o_orderkey"}
+    upsert.upsert_buckets(spark, _orders_history(spark, sf_dir), path, buckets=8, **how)
+    batch = materialize(_orders_batch(spark, sf_dir), new_folder(spark, "batch"))
+    return upsert.upsert_buckets(spark, batch, path, order_column=files.ROW_ORDER, **how)
+
+
 _NEWEST = """SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey, max(batch) AS batch FROM (
     SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, batch DESC, seq DESC) AS r
     FROM (

@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from listrata.sources import versioned
 from listrata.sources.files import ROW_ORDER, read_if_exists, replace_table
 
 BY_ID = "by_id"
@@ -168,3 +169,45 @@ def upsert_table(
         merge = upsert_increment if unique else upsert
         merged = merge(existing, new, strategy, ids, modification_column, order_column=order_column)
     return replace_table(merged, path)
+
+
+def upsert_buckets(
+    spark: SparkSession, new: DataFrame, path: str, strategy: str, id_columns: str | Sequence[str],
+    modification_column: str | None = None, *, order_column: str | None = None, new_unique: bool = False,
+    buckets: int | None = None,
+) -> DataFrame:
+    """Merge a batch into the versioned table at ``path`` (see :mod:`listrata.sources.versioned`) and return it.
+
+    Only the buckets that the batch's keys fall into are read and written; with keys that are small enough
+    to be broadcast, rows of the table are not shuffled either. Give the batch materialised, as several jobs
+    read it. Keys of the table are unique, as only this function writes it; ``new_unique`` states that of the
+    batch. The first batch, one row per key, becomes the table; rows of a plain Parquet table that stands at
+    ``path`` are taken over. ``buckets`` is the number of buckets of a new table.
+    """
+    ids = _as_list(id_columns)
+    modification = modification_column if strategy == BY_ID_AND_MODIFICATION else None
+
+    def merged_into(existing: DataFrame) -> DataFrame:
+        check(existing, new, strategy, ids, modification_column)
+        if new_unique and strategy == BY_ID:
+            return replace_by_id(existing, _without_row_order(new), ids)
+        return upsert_increment(existing, new, strategy, ids, modification_column, order_column=order_column)
+
+    at = versioned.version(spark, path)
+    if at is None:
+        plain = read_if_exists(spark, path)
+        check(plain, new, strategy, ids, modification_column)
+        if plain is not None:
+            first = merged_into(plain)
+        elif new_unique:
+            first = _without_row_order(new)
+        else:
+            first = deduplicate(new, ids, modification_column=modification, order_column=order_column)
+        return versioned.replace(first, path, ids, buckets)
+    if at.keys != tuple(ids):
+        raise ValueError(f"{path} has the key {at.keys}, not {tuple(ids)}")
+    at, hit = versioned.touched(spark, path, new)
+    merged = merged_into(versioned.read(spark, path, at.number, hit))
+    if versioned.same_types(merged.schema, at.schema):
+        return versioned.rewrite(merged, path, at, hit)
+    return versioned.replace(merged_into(versioned.read(spark, path, at.number)), path, ids)

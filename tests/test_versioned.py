@@ -1,0 +1,142 @@
+"""Versioned tables in hash buckets."""
+
+from pathlib import Path
+
+import pytest
+
+
+from listrata.operators import upsert
+from listrata.sources import files, versioned
+
+
+def table(spark, n=200, start=0):
+    return spark.range(start, start + n).selectExpr("cast(id as string) as k", "id as v", "id % 3 as m")
+
+
+def content(df):
+    return sorted((r.k, r.v) for r in df.collect())
+
+
+def files_of(spark, path):
+    at = versioned.version(spark, path)
+    return {
+        b: {(p.name, p.stat().st_mtime_ns) for p in Path(f"{path}/data/{w}/bucket={b}").glob("part-*")} for b, w in at.writes.items()
+    }
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert.upsert_buckets(spark, table(spark), path, upsert.BY_ID, "k", buckets=16)
+    before = files_of(spark, path)
+    assert len(before) == 16
+    batch = spark.createDataFrame([("7", -1, 0), ("900", -2, 0)], "k string, v long, m long")
+    hit = {r.b for r in batch.select(versioned.bucket_of(["k"], 16).alias("b")).collect()}
+    merged = upsert.upsert_buckets(spark, batch, path, upsert.BY_ID, "k")
+    after = files_of(spark, path)
+    assert {b for b in after if after[b] == before.get(b)} == set(range(16)) - hit
+    expected = {str(i): i for i in range(200)} | {"7": -1, "900": -2}
+    assert content(merged) == sorted(expected.items())
+    assert content(versioned.read(spark, path, 1)) == content(table(spark))  # the version before
+
+
+@pytest.mark.parametrize("strategy, column", [(upsert.BY_ID, None), (upsert.BY_ID_AND_MODIFICATION, "m")])
+def test_table_is_not_shuffled(spark, tmp_path, strategy, column):
+    """With a small batch no Exchange stands above the scan of the table, and untouched buckets are not read."""
+    path = str(tmp_path / "t")
+    versioned.replace(table(spark), path, ["k"], 16)
+    batch = spark.createDataFrame([("7", -1, 9)], "k string, v long, m long")
+    at, hit = versioned.touched(spark, path, batch)
+    existing = versioned.read(spark, path, at.number, hit)
+    assert len(hit) == 1 and existing.count() < 60
+    merged = upsert.upsert_increment(existing, batch, strategy, "k", column)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    untouched = plan[:plan.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in untouched and "LeftAnti" in untouched and "Exchange hashpartitioning" not in untouched
+
+
+@pytest.mark.parametrize("strategy, column", [(upsert.BY_ID, None), (upsert.BY_ID_AND_MODIFICATION, "m")])
+@pytest.mark.parametrize("buckets", [1, 5])
+def test_same_rows_as_a_whole_merge(spark, tmp_path, strategy, column, buckets):
+    path, old = str(tmp_path / "t"), table(spark)
+    batches = [
+        spark.createDataFrame([("3", 1, 5, 1), ("3", 2, 5, 2), ("x", 1, None, 3), (None, 4, 1, 4)], "k string, v long, m long, _row_order long"),
+        spark.createDataFrame([("3", 7, 4, 1), (None, 9, None, 2), ("5", 8, 0, 3)], "k string, v long, m long, _row_order long"),
+    ]
+    how = {"order_column": files.ROW_ORDER}
+    upsert.upsert_buckets(spark, old, path, strategy, "k", column, buckets=buckets, **how)
+    expected = upsert.deduplicate(old, "k", modification_column=column)
+    for batch in batches:
+        expected = upsert.upsert(expected, batch, strategy, "k", column, **how)
+        got = upsert.upsert_buckets(spark, batch, path, strategy, "k", column, **how)
+        assert sorted(map(str, got.select("k", "v", "m").collect())) == sorted(map(str, expected.select("k", "v", "m").collect()))
+
+
+def test_columns_and_types(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert.upsert_buckets(spark, table(spark, 20), path, upsert.BY_ID, "k", buckets=4)
+    fresh = spark.createDataFrame([("1", "new")], "k string, added string")
+    merged = upsert.upsert_buckets(spark, fresh, path, upsert.BY_ID, "k")
+    assert merged.columns == ["k", "v", "m", "added"]
+    assert {(r.k, r.v, r.added) for r in merged.collect()} >= {("1", None, "new"), ("2", 2, None)}
+    wider = spark.createDataFrame([("1", 0.5)], "k string, v double")
+    merged = upsert.upsert_buckets(spark, wider, path, upsert.BY_ID, "k")
+    assert dict(merged.dtypes)["v"] == "double" and {(r.k, r.v) for r in merged.collect()} >= {("1", 0.5), ("2", 2.0)}
+    with pytest.raises(ValueError, match="key"):
+        upsert.upsert_buckets(spark, fresh, path, upsert.BY_ID, "added")
+    with pytest.raises(ValueError, match="bucket"):
+        versioned.replace(spark.range(1).toDF("bucket"), str(tmp_path / "u"), ["bucket"])
+
+
+def test_a_write_that_breaks_off(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versioned.replace(table(spark, 20), path, ["k"], 4)
+    broken = spark.sql("SELECT '1' AS k, CAST(raise_error('no') AS BIGINT) AS v, 0L AS m")
+    at, hit = versioned.touched(spark, path, table(spark, 1))
+    with pytest.raises(Exception):
+        versioned.rewrite(broken, path, at, hit)
+    assert content(versioned.read(spark, path)) == content(table(spark, 20))
+    versioned.clean(spark, path)
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 1  # what it left is gone
+    assert content(versioned.read(spark, path)) == content(table(spark, 20))
+
+
+def test_of_two_writers_the_second_fails(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versioned.replace(table(spark, 20), path, ["k"], 4)
+    at, hit = versioned.touched(spark, path, table(spark, 1))
+    rows = versioned.read(spark, path, at.number, hit)
+    versioned.rewrite(rows, path, at, hit)
+    with pytest.raises(RuntimeError, match="another writer"):
+        versioned.rewrite(rows, path, at, hit)
+    assert versioned.version(spark, path).number == 2
+
+
+def test_old_versions_go(spark, tmp_path):
+    path = str(tmp_path / "t")
+    held = versioned.replace(table(spark, 20), path, ["k"], 4)
+    for i in range(3):
+        batch = spark.createDataFrame([("1", -i, 0)], "k string, v long, m long")
+        upsert.upsert_buckets(spark, batch, path, upsert.BY_ID, "k")
+        assert content(held) == content(table(spark, 20))  # a reader of the first version
+    versioned.clean(spark, path, 2)
+    assert versioned.version(spark, path, 1) is None and versioned.version(spark, path, 3) is not None
+    assert content(versioned.read(spark, path))[1] == ("1", -2)
+    assert versioned.crowded(spark, path, 0) == [0, 1, 2, 3]
+    before = content(versioned.read(spark, path))
+    assert content(versioned.compact(spark, path, 0)) == before
+    assert all(len(names) == 1 for names in files_of(spark, path).values())
+
+
+def test_a_plain_table_is_taken_over(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files.replace_table(table(spark, 10), path)
+    batch = spark.createDataFrame([("3", -1, 0)], "k string, v long, m long")
+    merged = upsert.upsert_buckets(spark, batch, path, upsert.BY_ID, "k", buckets=2)
+    assert len(content(merged)) == 10 and ("3", -1) in content(merged)
+    assert versioned.read(spark, str(tmp_path / "none")) is None
+
+
+def test_hot_keys_as_text_and_numbers(spark):
+    a = spark.range(50).select(versioned.bucket_of(["id"], 7).alias("b")).collect()
+    b = spark.range(50).selectExpr("cast(id as int) as id").select(versioned.bucket_of(["id"], 7).alias("b")).collect()
+    assert a == b and {r.b for r in a} == set(range(7))
