@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listrata.functions.cleaning import FALSE_TEXTS, NUMBER, TRUE_TEXTS
+from listrata.sources import records
 
 ROW_ORDER = "_row_order"
 
@@ -19,19 +21,36 @@ NA_TEXTS = (
 )
 
 
-def quote_escape(spark: SparkSession, path: str | Sequence[str]) -> str:
-    """The sign that files put before a quote inside a quoted field, found by one pass over their lines.
-
-    Doubled quotes are told from an empty field by what surrounds them. Files that use both
-    ways are refused, as no reader option covers them.
-    """
-    lines = spark.read.text([path] if isinstance(path, str) else list(path))
-    backslash = F.col("value").rlike(r'(?<!\\)(\\\\)*\\"')
-    doubled = F.col("value").rlike(r'(?<!^)(?<![,\\])""|(?<!\\)""(?!,|$)')
-    found = lines.agg(F.max(backslash).alias("backslash"), F.max(doubled).alias("doubled")).first()
-    if found["backslash"] and found["doubled"]:
-        raise ValueError(f"quotes are written both doubled and with a backslash: {path}")
-    return "\\" if found["backslash"] else '"'
+def _layouts(text: DataFrame, names: list[str]) -> dict[str, list[str]]:
+    """Header line to column names, for the different headers of several files."""
+    found = text.withColumn("id", F.monotonically_increasing_id()).where("block = 0 AND value NOT IN ('', '\r')")
+    firsts = found.groupBy("file").agg(F.min_by("value", "id").alias("head")).select("head").distinct().collect()
+    if len(firsts) == 1:
+        return {firsts[0]["head"]: names}
+    layouts = {}
+    for head, in firsts:
+        rows = list(csv.reader([head.lstrip("\ufeff").rstrip("\r")], strict=True))
+        layouts[head] = rows[0]
+    return layouts
+
+
+def _assembled(spark: SparkSession, paths: list[str], names: list[str], escape: str | None) -> DataFrame:
+    """All values as text, by the header of each file, and ``_row_order``."""
+    text = records.lines(spark, paths)
+    found = records.records(text, escape or records.style(text), escape is not None)
+    layouts = {"": names} if len(text.inputFiles()) == 1 else _layouts(text, names)
+    wide = max(map(len, layouts.values()))
+    row = found.where("NOT first").select(records.values(F.col("record"), F.col("backslash"), wide).alias("v"), records.place().alias(ROW_ORDER))
+    if len(layouts) == 1:
+        return row.select(*[F.col("v")[i].alias(n) for i, n in enumerate(names)], ROW_ORDER)
+    heads = found.where("first").select(F.col("file").alias("of"), F.col("record").alias("head"))
+    row = row.join(heads, F.col(f"{ROW_ORDER}.file") == F.col("of"))
+    every = list(dict.fromkeys(n for layout in layouts.values() for n in layout))
+    cells = {n: F.lit(None).cast("string") for n in every}
+    for head, layout in layouts.items():
+        for i, name in enumerate(layout):
+            cells[name] = F.when(F.col("head") == head.rstrip("\r"), F.col("v")[i]).otherwise(cells[name])
+    return row.select(*[cell.alias(n) for n, cell in cells.items()], ROW_ORDER)
 
 
 def read_csv(
@@ -47,26 +66,33 @@ def read_csv(
 ) -> DataFrame:
     """Every column of a headed CSV as text, missing-value words as null.
 
-    Columns are taken by header name, so their order in the file does not matter.
-    ``escape`` is the sign before a quote inside a quoted field: the quote itself
-    (``""``), a backslash, or ``None`` to find out by :func:`quote_escape`. A file that holds line breaks inside quotes needs
-    ``multi_line``, and is then read by one task per file; pass ``False`` for
-    files known to hold none, so that large ones are split. ``row_order`` adds
+    Columns are taken by header name, each file's own, so their order in a file does not matter; a column
+    that some files lack is null there. ``escape`` is the sign before a quote inside a quoted field: the
+    quote itself (``""``), a backslash, or ``None`` where each record tells by itself (see
+    :mod:`listrata.sources.records`). Files with line breaks inside quotes are read by many tasks each.
+    ``multi_line=False``, for files known to hold none, spares a shuffle. ``row_order`` adds
     ``_row_order``, which grows along a file, and from file to file by path. ``infer`` types the columns by
-    :func:`infer_types`.
+    :func:`infer_types`. Reader ``options`` of Spark's (a separator, an encoding) call for a fixed ``escape``;
+    with them a file with line breaks is read by one task.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    raw = (
-        spark.read.options(header=True, escape=escape or quote_escape(spark, paths), multiLine=multi_line, inferSchema=False)
-        .options(**options)
-        .csv(paths)
-    )
+    if options and escape is None:
+        raise ValueError("with reader options, say how quotes are written")
+    sign = escape or '"'
+    raw = spark.read.options(header=True, escape=sign, multiLine=multi_line, inferSchema=False).options(**options).csv(paths)
+    if not options and raw.columns and (multi_line or escape is None):
+        rows = _assembled(spark, paths, raw.columns, escape)
+        data = [c for c in rows.columns if c != ROW_ORDER]
+    else:
+        rows, data = raw, raw.columns
+        if row_order:
+            rows = raw.select("*", place_in_files(*files_of_rows()))
     missing = list(na_texts)
     cleaned = [
         F.when(~F.col(f"`{c}`").isin(missing), F.col(f"`{c}`")).alias(c) if missing else F.col(f"`{c}`")
-        for c in raw.columns
+        for c in data
     ]
-    rows = raw.select(*cleaned, *([place_in_files(*files_of_rows())] if row_order else []))
+    rows = rows.select(*cleaned, *([ROW_ORDER] if row_order else []))
     return infer_types(rows) if infer else rows
 
 

@@ -10,16 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from listrata.sources.files import NA_TEXTS, ROW_ORDER, files_of_rows, place_in_files
+from listrata.sources import records
+from listrata.sources.files import NA_TEXTS, ROW_ORDER, files_of_rows
 from listrata.sources.landing import land, read_landed
-
-
-def _headers(rows: DataFrame) -> DataFrame:
-    """One row per file: its first row and where that stands."""
-    file, place = F.col(f"{ROW_ORDER}.file").alias("file"), F.col(ROW_ORDER)
-    return rows.groupBy(file).agg(F.min(place).alias("place"), F.min_by("values", place).alias("header"))
+from listrata.sources.workspace import materialize, new_folder
 
 
 def _named(column: str) -> Column:
@@ -32,25 +27,30 @@ def _named(column: str) -> Column:
 
 def land_new_files(
     spark: SparkSession, incoming: str, bronze: str, checkpoint: str, columns: list[str], run: str, *,
-    escape: str = '"', after: Callable[[DataFrame, str], None] | None = None,
+    escape: str | None = '"', after: Callable[[DataFrame, str], None] | None = None,
 ) -> None:
     """Land the files that arrived since the last call, as partitions ``<run>-<batch>`` of ``bronze``.
 
-    ``columns`` names the columns that every file has; each file's own header says in which order. A
-    file whose header lacks one fails the batch. A batch that is repeated after a failure replaces its
+    ``columns`` names columns that every file has; each file's own header, which is read first, says how many
+    there are and in which order. Columns that are not named are left out. A file whose header lacks one
+    fails the batch. A batch that is repeated after a failure replaces its
     own partition. ``after`` gets the landed rows and the partition's name.
     """
-    places = [f"_c{i}" for i in range(len(columns))]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in places])
-    reader = spark.readStream.schema(schema).options(header=False, escape=escape, multiLine=True)
-    arriving = reader.csv(incoming).select(F.array(*places).alias("values"), *files_of_rows())
+    arriving = spark.readStream.option("lineSep", "\n").text(incoming).select("value", *files_of_rows())
 
     def put(batch: DataFrame, number: int) -> None:
         name = f"{run}-{number}"
-        batch = batch.select("values", place_in_files(F.col("file"), F.col("block")))
-        after_header = batch.alias("rows").join(_headers(batch).alias("heads"), F.expr(f"rows.{ROW_ORDER}.file = heads.file"))
-        after_header = after_header.where(F.expr(f"rows.{ROW_ORDER} > heads.place"))
-        landed = after_header.select(*[_named(c) for c in columns], F.col(f"rows.{ROW_ORDER}").alias(ROW_ORDER))
+        found = records.records(batch, escape or records.style(batch), escape is not None)
+        heads = materialize(found.where("first").drop("first"), new_folder(spark, "headers"))
+        wide = heads.agg(F.max(F.size(F.split("record", ",")))).first()[0] or 1  # no header has more columns
+
+        def parsed() -> Column:
+            return records.values(F.regexp_replace("record", "^\ufeff", ""), F.col("backslash"), wide)
+
+        heads = heads.select("file", parsed().alias("header"))
+        rows = found.where("NOT first").select(parsed().alias("values"), records.place().alias(ROW_ORDER))
+        named = rows.alias("rows").join(heads.alias("heads"), F.expr(f"rows.{ROW_ORDER}.file = heads.file"))
+        landed = named.select(*[_named(c) for c in columns], F.col(f"rows.{ROW_ORDER}").alias(ROW_ORDER))
         land(landed, bronze, name)
         if after is not None:
             after(read_landed(batch.sparkSession, bronze, name), name)

@@ -4,7 +4,7 @@ from datetime import datetime
 
 import pytest
 
-from listrata.sources import files, landing, warehouse, workspace
+from listrata.sources import files, landing, records, warehouse, workspace
 from listrata.streaming.landing import land_new_files
 
 TRICKY = [(1, 'say "hi", ok'), (2, "two\nlines"), (3, "back\\slash \\"), (4, "tab\tcr\r\nlf"), (5, " space "), (6, ""), (7, None), (8, "NA")]
@@ -28,15 +28,80 @@ def test_quote_styles(spark, tmp_path):
         "backslash": ('a,b\n"x \\"y\\" z",""\n', "\\"),
         "backslash at the end": ('a,b\n"x \\"y\\"","\\"z\\""\n', "\\"),
         "path": ('a,b\n"c:\\\\x\\\\",""\n', '"'),
+        "both": ('a\n"x ""y"" z"\n"x \\"y\\" z"\n', '"'),
     }
     for name, (text, escape) in texts.items():
         (tmp_path / name).write_text(text)
-        assert files.quote_escape(spark, str(tmp_path / name)) == escape, name
-    (tmp_path / "both").write_text('a\n"x ""y"" z"\n"x \\"y\\" z"\n')
-    with pytest.raises(ValueError, match="both"):
-        files.read_csv(spark, str(tmp_path / "both"), escape=None)
-    for name in ("doubled", "backslash"):
-        assert 'x "y" z' in {r.a for r in files.read_csv(spark, str(tmp_path / name), escape=None).collect()}
+        assert records.style(records.lines(spark, [str(tmp_path / name)])) == escape, name
+    for name in ("doubled", "backslash", "both"):
+        assert {'x "y" z'} <= {r.a for r in files.read_csv(spark, str(tmp_path / name), escape=None).collect()}
+    assert [r.a for r in files.read_csv(spark, str(tmp_path / "both"), escape=None).collect()] == ['x "y" z'] * 2
+
+
+MIXED = r'''id,text,more
+1,"{""say"": ""say \""hi\"" ok""}",a
+2,"ends in a backslash \",b
+3,"by \"backslash\", with a comma",c
+4,"two
+lines ""doubled"", and
+three",d
+5,"two
+lines \"escaped\", \"and
+three",e
+6,5" pipe,f
+
+7,"",g
+8,"a \" quote",h
+9,""",",i
+'''
+
+
+@pytest.mark.parametrize("split", [1 << 20, 7, 23])
+def test_both_quote_styles_and_many_tasks(spark, tmp_path, split):
+    """Every record is parsed in its own way, however the file is split."""
+    (tmp_path / "m.csv").write_text(MIXED, newline="")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = files.read_csv(spark, str(tmp_path / "m.csv"), escape=None, row_order=True)
+        rows = df.orderBy(files.ROW_ORDER).collect()
+        tasks = records.lines(spark, [str(tmp_path / "m.csv")]).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert tasks > 5 or split == 1 << 20
+    assert [(r.id, r.text, r.more) for r in rows] == [
+        ("1", r'{"say": "say \"hi\" ok"}', "a"), ("2", "ends in a backslash \\", "b"), ("3", 'by "backslash", with a comma', "c"),
+        ("4", 'two\nlines "doubled", and\nthree', "d"), ("5", 'two\nlines "escaped", "and\nthree', "e"), ("6", '5" pipe', "f"),
+        ("7", None, "g"), ("8", 'a " quote', "h"), ("9", '",', "i"),
+    ]
+
+
+@pytest.mark.parametrize("ends", ["\n", "\r\n"])
+def test_split_file_reads_as_a_whole_one(spark, tmp_path, ends):
+    """Random fields with line breaks, many tasks: the rows and their order are those of a reader of the whole file."""
+    import csv
+    import random
+
+    random.seed(3)
+    rows = [[str(i), "".join(random.choices(['"', ",", "\n", "a", "b", " ", "\r\n", "\\"], k=random.randint(0, 12)))] for i in range(400)]
+    with open(tmp_path / "r.csv", "w", newline="") as out:
+        csv.writer(out, lineterminator=ends).writerows([["id", "text"], *rows])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = files.read_csv(spark, str(tmp_path / "r.csv"), row_order=True, na_texts=()).orderBy(files.ROW_ORDER).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [[r.id, r.text or ""] for r in got] == rows
+
+
+def test_headers_of_several_files(spark, tmp_path):
+    for name, text in (("a", "id,x\n1,p\n"), ("b", "\ufeffx,y,id\nq,r,2\n"), ("c", "id,x\n3,s\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    df = files.read_csv(spark, [str(tmp_path / f"{n}.csv") for n in "abc"], row_order=True).orderBy(files.ROW_ORDER)
+    assert [(r.id, r.x, r.y) for r in df.collect()] == [("1", "p", None), ("2", "q", "r"), ("3", "s", None)]
 
 
 def test_csv_by_header_name_and_row_order(spark, tmp_path):
@@ -188,6 +253,9 @@ def test_stream_lands_each_file_once(spark, tmp_path):
     call()
     assert [n for _, n in seen] == [2, 1]
     assert tuple(landing.read_landed(spark, bronze, seen[1][0]).select("a", "b").first()) == ("3", "z")
+    (tmp_path / "in" / "2b.csv").write_text('extra,b,more,a\nq,"w\nv",p,5\n')  # wider, in another order
+    call()
+    assert tuple(landing.read_landed(spark, bronze, seen[2][0]).select("a", "b").first()) == ("5", "w\nv")
     (tmp_path / "in" / "3.csv").write_text("a,c\n4,y\n")
     with pytest.raises(Exception, match="no column b"):
         call()
