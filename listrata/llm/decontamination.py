@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from listrata.llm.frames import free_name, map_batches, stored
 from listrata.llm.words import ALNUM, encoded, windows, word_hashes
 
-#: Bytes of benchmark text that a task holds at once.
+#: Bytes of benchmark text that a task holds at once, as arrays of about four times that size.
 MOST_BYTES = 16 << 20
 _BYTES = bytes(max(int(v) - 1, 0) if v else 0x20 for v in ALNUM)
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -38,49 +38,89 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Windows:
-    """The windows of some items: hashes to find them, words to verify them."""
+    """The windows of some items in flat arrays: sorted hashes to find them, the items' words to verify them.
+
+    ``buffer`` holds the words of all items, one space after each; word k begins at ``starts[k]`` and item i
+    at word ``first[i]``. ``known`` has, per window size, the sorted hashes and the first word of each window.
+    All this takes about four bytes for each byte of the items, on the driver and in each Python worker.
+    """
 
     def __init__(self, items: list[tuple[str | None, str | None]], width: int):
-        self.names: dict[int, dict[tuple[bytes, ...], list]] = {}
-        for name, text in items:
-            found = words(text)
-            size = min(width, len(found))
-            for i in range(len(found) - size + 1 if size else 0):
-                names = self.names.setdefault(size, {}).setdefault(tuple(found[i:i + size]), [])
-                if name not in names:
-                    names.append(name)
-        self.hashes = {}
-        for size, known in self.names.items():
-            rows = word_hashes([b" ".join(w).decode("utf-8", "surrogatepass") for w in known], ALNUM)[0]
-            self.hashes[size] = np.unique(windows(rows, size)[::size])
+        self.names = [name for name, _ in items]
+        buffers, lengths, counts, found = [], [], [], {}
+        done = 0
+        for texts in _batches([text for _, text in items]):
+            hashes, offsets = word_hashes(texts, ALNUM)
+            rows = windows(hashes, width)
+            for text, begin, end in zip(texts, offsets[:-1].tolist(), offsets[1:].tolist()):
+                parts = words(text)
+                buffers.append(b"".join(part + b" " for part in parts))
+                lengths.append(np.array([len(part) + 1 for part in parts], np.int64))
+                size = min(width, len(parts))
+                if size:
+                    of_item = rows[begin:end - width + 1] if size == width else windows(hashes[begin:end], size)
+                    once, at = np.unique(of_item, return_index=True)
+                    found.setdefault(size, []).append((once, (done + at).astype(np.uint32)))
+                counts.append(len(parts))
+                done += len(parts)
+        self.buffer = b"".join(buffers)
+        self.starts = np.cumsum(np.concatenate([np.zeros(1, np.int64), *lengths])).astype(np.uint32)
+        self.first = np.cumsum([0, *counts])
+        self.known = {}
+        for size, parts in found.items():
+            hashes, places = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(hashes, kind="stable")
+            self.known[size] = hashes[order], places[order]
+
+    def items(self, size: int, low: int, high: int, window: bytes) -> list[int]:
+        """Items of the entries ``low`` to ``high`` of this size whose window is this one, word by word."""
+        out = []
+        for word in self.known[size][1][low:high].tolist():
+            if self.buffer[self.starts[word]:self.starts[word + size]] == window:
+                out.append(int(np.searchsorted(self.first, word, side="right")) - 1)
+        return out
 
     def find(self, texts: list[str | None]) -> list[tuple[int, list[tuple[int, int]], set]]:
         """Per text: number of words, (first word, size) of each occurrence, names of its items."""
         hashes, offsets = word_hashes(texts, ALNUM)
-        hits: list[list[tuple[int, int]]] = [[] for _ in texts]
-        for size, known in self.hashes.items():
+        hits: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
+        for size, (known, _) in self.known.items():
             rows = windows(hashes, size)
-            at = np.minimum(np.searchsorted(known, rows), len(known) - 1)
-            places = np.flatnonzero(known[at] == rows)
+            low = np.searchsorted(known, rows)
+            places = np.flatnonzero(known[np.minimum(low, len(known) - 1)] == rows)
             owners = np.searchsorted(offsets, places, side="right") - 1
-            for place, owner in zip(places.tolist(), owners.tolist()):
+            high = np.searchsorted(known, rows[places], side="right")
+            for place, owner, a, b in zip(places.tolist(), owners.tolist(), low[places].tolist(), high.tolist()):
                 if place + size <= offsets[owner + 1]:
-                    hits[owner].append((place - int(offsets[owner]), size))
+                    hits[owner].append((place - int(offsets[owner]), size, a, b))
         out = []
         for i, places in enumerate(hits):
             names: set = set()
             real = []
             if places:
                 found = words(texts[i])
-                for place, size in places:
-                    items = self.names[size].get(tuple(found[place:place + size]))
-                    if items is not None:
+                for place, size, a, b in places:
+                    items = self.items(size, a, b, b"".join(w + b" " for w in found[place:place + size]))
+                    if items:
                         real.append((place, size))
-                        names.update(items)
+                        names.update(self.names[j] for j in items)
             out.append((int(offsets[i + 1] - offsets[i]), real, names))
         return out
 
 
+def _batches(texts: list[str | None], most: int = 1 << 18) -> Iterator[list[str | None]]:
+    """The texts in runs of about ``most`` signs, as hashing takes many times their size."""
+    run, size = [], 0
+    for text in texts:
+        run.append(text)
+        size += len(text or "")
+        if size >= most:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 def _blocks(benchmark: DataFrame, item_id: str, text: str, most_bytes: int) -> Iterator[tuple[int, list[tuple]]]:
     """Number of blocks and each block's items, about ``most_bytes``; one block is on the driver at a time."""
     rows = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("name"),

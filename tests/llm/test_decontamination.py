@@ -80,3 +80,21 @@ def test_query_against_brute_force(spark):
     items = pd.read_parquet(f"{folder}/benchmark.parquet")
     expected = brute(list(zip(docs.doc_id, docs.text)), list(zip(items.item_id, items.text)))
     assert rows_of(QUERIES["op6_decontamination"](spark, folder)) == expected
+
+
+def test_flat_arrays():
+    """What tasks hold is a small multiple of the benchmark's text, and finds the same as brute force."""
+    import pickle
+    import random
+
+    random.seed(2)
+    vocabulary = ["".join(random.choices("abcdefghij", k=random.randint(2, 9))) for _ in range(5000)]
+    items = [(str(i), " ".join(random.choices(vocabulary, k=random.randint(0, 400)))) for i in range(1500)]
+    items += [("copy", items[7][1]), (None, items[8][1]), ("short", "only these four words")]
+    found = decontamination.Windows(items, 10)
+    text = sum(len(t) for _, t in items)
+    assert len(pickle.dumps(found)) < 5 * text
+    docs = [(k, " ".join(random.choices(vocabulary, k=30) + items[k][1].split()[:12] + ["only", "These", "four", "words"])) for k in range(5, 60)]
+    expected = brute(docs, items)
+    for (key, _), (n, hits, names) in zip(docs, found.find([t for _, t in docs])):
+        assert (n, bool(hits), len(names)) == (expected[key][0], expected[key][4], expected[key][2])
