@@ -78,3 +78,30 @@ def test_rows_of_run(spark):
     by_hand, whole = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER), corpus_pipeline.run(spark, FOLDER)
     assert whole.columns == by_hand.columns and by_hand.count() > 0
     assert sorted(map(str, whole.collect())) == sorted(map(str, by_hand.collect()))
+
+
+def test_edge_rows_in_every_stage(spark):
+    """Nulls, empty and long texts, repeated rows and ids, clashing columns, an empty table."""
+    start = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40)
+    some = start.toPandas()
+    long = "one two three four five six seven\n" * 5000
+    rows = [(None, None), (None, "a text without an id"), (900_001, None), (900_002, ""), (900_002, ""), (900_003, " \n "), (900_004, long),
+            (900_005, long), (900_006, "same words here " * 20), (900_006, "same words here " * 20)]
+    extra = pd.DataFrame({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows], "lang": None, "source": None, "n_chars": None})
+    both = [tuple(None if pd.isna(v) else int(v) if isinstance(v, float) else v for v in r) for r in pd.concat([some, extra])[start.columns].itertuples(index=False)]
+    given = spark.createDataFrame(both, start.schema).selectExpr("*", "source AS key", "lang AS found", "lang AS gone", "doc_id AS id")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, given, FOLDER)
+        kept = out.toPandas()
+        assert stage(spark, given.limit(0), FOLDER).count() == 0, name
+        if name == "packing":
+            assert (kept.start == 0).sum() == len(both)
+            break
+        assert out.columns == given.columns, name
+        ids = kept.doc_id.dropna().astype(int).tolist()
+        assert kept.doc_id.isna().sum() == 2 and {900_001, 900_002, 900_003} <= set(ids), name
+        assert name == "toxicity" or 900_004 in ids
+        if name == "near_dedup":
+            assert 900_005 not in ids
+        if name == "line_dedup":
+            assert dict(zip(kept.doc_id, kept.text))[900_005] == ""
