@@ -172,3 +172,21 @@ def test_projection_and_columns(spark):
     moment = datetime(2024, 1, 1)
     assert tuple(cols.stamp(df, moment).first()) == (moment, 1, "a")
     assert cols.stamp(df, moment).columns[0] == "process_timestamp"
+
+
+def test_empty_columns_from_footers(spark, tmp_path):
+    """The same columns as by rows; counts of values come from the files' footers."""
+    df = spark.range(5000).selectExpr(
+        "id", "cast(null as string) as nothing", "if(id = 4999, 'x', null) as rare", "cast('NaN' as double) as nan",
+        "if(id = 1, 1D, double('NaN')) as some", "named_struct('a', cast(null as int)) as nested", "cast(null as date) as `no.day`",
+    )
+    path = str(tmp_path / "t")
+    df.repartition(3).write.parquet(path)
+    assert rows.empty_columns_of_files(spark, path) == rows.empty_columns(spark.read.parquet(path))
+    assert {"nothing", "nan", "no.day"} <= set(rows.empty_columns_of_files(spark, path))
+    other = spark.newSession()
+    other.conf.set("spark.sql.sources.useV1SourceList", "")
+    other.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    plan = other.read.parquet(path).agg(F.count("rare"), F.count("nothing"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(rare), COUNT(nothing)]" in plan
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")  # the caller's session is as it was
