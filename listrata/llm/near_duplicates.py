@@ -6,7 +6,8 @@ members are tied to its smallest one instead of to each other, and the groups of
 verified one by one: inside a group every pair that shares a band has its signatures compared a batch at
 a time, until its posterior chance of reaching the threshold falls below ``MISS``; what survives is
 confirmed on the full sets, unless it is connected already. Large groups are verified in blocks of their
-members, so no task holds an unbounded group.
+members, so no task holds an unbounded group; where many blocks meet, signatures travel and texts follow
+only for the members of pairs that survive.
 """
 
 from __future__ import annotations
@@ -112,19 +113,20 @@ def _sharing(keys: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-def linked(sets: list[np.ndarray], own: np.ndarray, known: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Confirmed pairs that connect all that candidates connect, beyond what is ``known`` by equal labels.
+def survivors(
+    signatures: np.ndarray, sizes: np.ndarray, own: np.ndarray, known: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (first, second) that share a band and may reach ``percent``, and how many of their values are equal.
 
-    ``own`` names the block of each set; where there are two, pairs within a block are left out.
+    Pairs with equal ``known`` labels are left out. ``own`` names the block of each row; where there are two,
+    pairs within a block are left out as well.
     """
-    signatures = np.stack([signature(s) for s in sets])
     pairs = _sharing(bands(signatures))
-    first, second = pairs // len(sets), pairs % len(sets)
+    first, second = pairs // len(sizes), pairs % len(sizes)
     wanted = known[first] != known[second]
     if len(np.unique(own)) > 1:
         wanted &= own[first] != own[second]
     first, second = first[wanted], second[wanted]
-    sizes = np.array([len(s) for s in sets])
     small, large = np.minimum(sizes[first], sizes[second]), np.maximum(sizes[first], sizes[second])
     first, second = first[100 * small >= percent * large], second[100 * small >= percent * large]
     equal = np.zeros(len(first), np.int64)
@@ -133,6 +135,13 @@ def linked(sets: list[np.ndarray], own: np.ndarray, known: np.ndarray, percent:
         equal += (signatures[first, columns] == signatures[second, columns]).sum(axis=1)
         stay = equal >= least
         first, second, equal = first[stay], second[stay], equal[stay]
+    return first, second, equal
+
+
+def linked(sets: list[np.ndarray], own: np.ndarray, known: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Confirmed pairs that connect all that surviving pairs connect, beyond what is ``known`` by equal labels."""
+    sizes = np.array([len(s) for s in sets])
+    first, second, equal = survivors(np.stack([signature(s) for s in sets]), sizes, own, known, percent)
     roots, out = np.unique(known, return_index=True)[1][np.unique(known, return_inverse=True)[1]].tolist(), []
 
     def root(i: int) -> int:
@@ -157,7 +166,8 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id: str
     A group of one block is compared as a whole. Members of a larger one are first compared within two
     random blocks each, which is linear in the group and connects most of it. Then only those that its
     largest component still lacks are compared with all others: the larger that component, the fewer
-    pairs of blocks are left, and pairs inside it are never looked at.
+    pairs of blocks are left, and pairs inside it are never looked at. The blocks of this last step hold
+    signatures; texts go only to blocks in which they are in a surviving pair.
     """
     members = stored(_members(docs, classes, id, text), "members")
     seeds = F.when(F.col("blocks") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -179,12 +189,48 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id: str
     inside = F.col("label") == F.col("giant")
     last = F.col("inner") + F.col("outer") - 1
     own = F.when(inside, F.pmod(F.xxhash64("id"), "inner")).otherwise(F.col("inner") + F.pmod(F.xxhash64("id"), "outer"))
+    open_ = large.join(labels.drop("component"), "id").join(counts, "component").withColumn("own", own)
+    signed = stored(_signed(open_, width), "signed")
     rest = (
-        large.join(labels.drop("component"), "id").join(counts, "component").withColumn("own", own)
+        signed
         .withColumn("other", F.explode(F.when(inside, F.sequence("inner", last)).otherwise(F.sequence(F.lit(0), last))))
         .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
     )
-    return joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_verified(rest, width, percent))
+    asked = stored(_surviving(rest, percent), "asked")
+    texts = large.select("id", "text", "key").join(asked.select("id").distinct(), "id", "left_semi")
+    rest = _verified(texts.join(asked, ["id", "key"]), width, percent)
+    return joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest)
+
+
+def _signed(members: DataFrame, width: int) -> DataFrame:
+    """Members with the size and the signature of their set instead of their text; each class once."""
+    kept = ["id", "key", "component", "label", "giant", "own", "inner", "outer"]
+
+    def sign(columns: dict[str, list]) -> dict[str, list]:
+        sets = shingle_sets(columns["text"], width)
+        same = [i for i, (shingles, key) in enumerate(zip(sets, columns["key"])) if set_key(shingles) == key]
+        return {name: [columns[name][i] for i in same] for name in kept} | {
+            "n": [len(sets[i]) for i in same], "signature": [signature(sets[i]).tobytes() for i in same],
+        }
+
+    types = dict(members.dtypes)
+    schema = ", ".join(f"{name} {types[name]}" for name in kept) + ", n bigint, signature binary"
+    return map_batches(members.select(*kept, "text"), sign, schema).dropDuplicates(["id", "key"])
+
+
+def _surviving(dealt: DataFrame, percent: int) -> DataFrame:
+    """Of each block (component, i, j) of signatures the members that are in a pair which may be similar."""
+
+    def look(frame: pd.DataFrame) -> pd.DataFrame:
+        signatures = np.stack([np.frombuffer(s, np.uint32) for s in frame["signature"]])
+        sizes, own, label = (frame[name].to_numpy() for name in ("n", "own", "label"))
+        first, second, _ = survivors(signatures, sizes, own, label, percent)
+        return frame.iloc[np.unique(np.concatenate([first, second]))][["id", "key", "component", "i", "j", "own", "label"]]
+
+    wanted = dealt.select("id", "key", "n", "signature", "own", "label", "component", "i", "j")
+    types = dict(wanted.dtypes)
+    schema = ", ".join(f"{name} {types[name]}" for name in ("id", "key", "component", "i", "j", "own", "label"))
+    return wanted.groupBy("component", "i", "j").applyInPandas(look, schema)
 
 
 def _members(docs: DataFrame, classes: DataFrame, id: str, text: str) -> DataFrame:

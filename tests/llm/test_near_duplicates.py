@@ -106,3 +106,43 @@ def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(3, 3), (None, 4), (260, 259), (260, 259)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert found == {i: 100 for i in range(101, 161)} | {i: 7 for i in range(200, 261)}
+
+
+def chain(seed):
+    """A group tied by bands whose members are similar to their neighbours only, and others beside it."""
+    random.seed(seed)
+    words = [f"w{i}" for i in range(1000)]
+    random.shuffle(words)
+    docs = []
+    for i in range(120):  # a window of 100 words slides by 5: neighbours are similar, others tied through them
+        start = 5 * (i + 4 * (i // 10))  # and by 25 at every tenth
+        docs.append((1000 - i, " ".join(words[start:start + 100])))
+    return docs + [(5, docs[3][1]), (6, None), (7, docs[9][1].upper()), (5, docs[3][1])]
+
+
+def test_large_group_that_is_not_connected(documents, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK", 8)
+    docs = chain(5)
+    found = near_duplicates.groups(documents(docs), 4)
+    assert rows_of(found) == brute(sorted(set(docs), key=str), 4)
+
+
+def test_texts_follow_survivors_only(documents, monkeypatch):
+    """Blocks hold signatures, and a text goes to no block in which it is in no surviving pair."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", 8)
+    seen = {}
+    verified, surviving = near_duplicates._verified, near_duplicates._surviving
+
+    def count(name, function, checked):
+        def counted(dealt, *rest):
+            seen.setdefault(name, []).append(dealt.count())
+            assert ("text" in dealt.columns) == checked
+            return function(dealt, *rest)
+        return counted
+
+    monkeypatch.setattr(near_duplicates, "_verified", count("texts", verified, True))
+    monkeypatch.setattr(near_duplicates, "_surviving", count("signatures", surviving, False))
+    near_duplicates.groups(documents(chain(6)), 4).count()
+    first, rest = seen["texts"]
+    assert len(seen["signatures"]) == 1 and rest < seen["signatures"][0] / 2
+    assert first <= 2 * 121
