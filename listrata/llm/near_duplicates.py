@@ -32,6 +32,8 @@ ROWS, BANDS = 5, 35
 BATCH, MISS = 25, 1e-6
 #: Members of a group that are compared by one task with as many others.
 BLOCK = 64
+#: Rows that a task of the verification aims at: its work is computing, so Spark's sizes by bytes are too large.
+TASK_ROWS = 1024
 
 
 @lru_cache(maxsize=1)
@@ -172,9 +174,11 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id: str
     members = stored(_members(docs, classes, id, text), "members")
     seeds = F.when(F.col("blocks") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     first = members.withColumn("i", F.explode(seeds)).withColumn("j", F.pmod(F.xxhash64("id", "i"), "blocks"))
-    first = stored(_verified(first.withColumn("own", F.lit(0)).withColumn("label", F.col("id")), width, percent), "links")
+    first = first.withColumn("own", F.lit(0)).withColumn("label", F.col("id"))
     large = members.where("blocks > 1")
-    if not large.limit(1).count():
+    doubled = large.count()
+    first = stored(_verified(first, members.count() + doubled, width, percent), "links")
+    if not doubled:
         return first
     joined = components(first)
     found = joined.select(F.col("node").alias("id"), F.col("component").alias("label"))
@@ -198,7 +202,7 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id: str
     )
     asked = stored(_surviving(rest, percent), "asked")
     texts = large.select("id", "text", "key").join(asked.select("id").distinct(), "id", "left_semi")
-    rest = _verified(texts.join(asked, ["id", "key"]), width, percent)
+    rest = _verified(texts.join(asked, ["id", "key"]), asked.count(), width, percent)
     return joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest)
 
 
@@ -247,8 +251,8 @@ def _members(docs: DataFrame, classes: DataFrame, id: str, text: str) -> DataFra
     return texts.join(stored(members, "tied"), "id")
 
 
-def _verified(dealt: DataFrame, width: int, percent: int) -> DataFrame:
-    """The links that each block (component, i, j) of ``dealt`` confirms."""
+def _verified(dealt: DataFrame, rows: int, width: int, percent: int) -> DataFrame:
+    """The links that each block (component, i, j) of ``dealt``, some ``rows`` rows, confirms."""
 
     def verify(frame: pd.DataFrame) -> pd.DataFrame:
         sets = shingle_sets(frame["text"].tolist(), width)
@@ -262,6 +266,7 @@ def _verified(dealt: DataFrame, width: int, percent: int) -> DataFrame:
         return pd.DataFrame({"a": ids[[a for a, _ in found]], "b": ids[[b for _, b in found]]}, dtype="int64")
 
     wanted = dealt.select("id", "text", "key", "own", "label", "component", "i", "j")
+    wanted = wanted.repartition(max(1, -(-rows // TASK_ROWS)), "component", "i", "j")
     return wanted.groupBy("component", "i", "j").applyInPandas(verify, "a bigint, b bigint")
 
 
