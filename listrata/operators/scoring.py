@@ -34,17 +34,25 @@ def _value(df: DataFrame, name: str) -> Column:
 _BOUNDS = "_bounds"
 
 
-def with_bounds(df: DataFrame, **values: Column) -> DataFrame:
-    """Add the least and greatest value of several expressions over the whole frame.
+def bounds_of(df: DataFrame, **values: Column) -> DataFrame:
+    """The least and greatest value of several expressions over the whole frame.
 
-    They come from one aggregate as the struct ``_bounds`` with the fields ``<name>_low`` and
-    ``<name>_high``: a one-row subquery that is run once and reaches the tasks as a constant,
-    without a join.
+    One row with the columns ``<name>_low`` and ``<name>_high``; missing values do not count.
     """
     ends = []
     for name, value in values.items():
         ends += [F.min(value).alias(f"{name}_low"), F.max(value).alias(f"{name}_high")]
-    return df.withColumn(_BOUNDS, df.agg(F.struct(*ends).alias("ends")).scalar())
+    return df.agg(*ends)
+
+
+def with_bounds(df: DataFrame, bounds: DataFrame | None = None, **values: Column) -> DataFrame:
+    """Add the least and greatest value of several expressions over the whole frame as the struct ``_bounds``.
+
+    They come from ``bounds`` (see :func:`bounds_of`) or one aggregate: a one-row subquery that is run once
+    and reaches the tasks as a constant, without a join.
+    """
+    ends = bounds_of(df, **values) if bounds is None else bounds
+    return df.withColumn(_BOUNDS, ends.select(F.struct(*ends.columns).alias("ends")).scalar())
 
 
 def _scaled(value: Column, name: str, *, guarded: bool) -> Column:
@@ -68,16 +76,28 @@ def recency(df: DataFrame, column: str, *, decay: float = 0.001) -> DataFrame:
     return _aged(df, column, df.agg(F.max(column)).scalar(), decay)
 
 
+def _company_logs(df: DataFrame) -> dict[str, Column]:
+    return {"reviews": measures.log1p(_value(df, "reviews")), "photos": measures.log1p(_value(df, "photos_count"))}
+
+
+def company_bounds(df: DataFrame) -> DataFrame:
+    """The bounds over all companies that :func:`company_score` scales by."""
+    return bounds_of(df, **_company_logs(df))
+
+
 def company_score(
     df: DataFrame, *, weights: Mapping[str, float] | None = None, only_features: bool = False,
-    keep_parts: bool = False, run_time: datetime | None = None,
+    keep_parts: bool = False, run_time: datetime | None = None, bounds: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``company_profile_score``: rating, and logs of reviews and photos scaled over all companies."""
+    """Add ``company_profile_score``: rating, and logs of reviews and photos scaled over all companies.
+
+    ``bounds`` are those of all companies if ``df`` holds only some.
+    """
     share = measures.normalised(weights or COMPANY_WEIGHTS)
     if only_features:
         df = project(df, COMPANY_FEATURES)
-    logs = {"reviews": measures.log1p(_value(df, "reviews")), "photos": measures.log1p(_value(df, "photos_count"))}
-    scored = with_bounds(df, **logs).withColumns(
+    logs = _company_logs(df)
+    scored = with_bounds(df, bounds, **logs).withColumns(
         {
             "S1": measures.rating_unit(_value(df, "rating")),
             "log_reviews": logs["reviews"],
@@ -94,30 +114,40 @@ def company_score(
     return stamp(scored.drop(_BOUNDS), run_time or datetime.now())
 
 
+def _review_ends(df: DataFrame) -> dict[str, Column]:
+    return {"likes": measures.log1p(_value(df, "review_likes")), "time": F.col("review_timestamp")}
+
+
+def review_bounds(df: DataFrame) -> DataFrame:
+    """The bounds over all reviews that :func:`review_score` depends on."""
+    return bounds_of(df, **_review_ends(df))
+
+
 def review_score(
     df: DataFrame, valences: DataFrame, *, decay: float = 0.001, weights: Mapping[str, float] | None = None,
     only_features: bool = False, keep_parts: bool = False, strict: bool = True,
-    run_time: datetime | None = None,
+    run_time: datetime | None = None, bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``user_review_score``: rating, sentiment, adjectives and likes, weighed down by age.
 
-    ``valences`` is the table (word, valence) that rates the adjectives.
+    ``valences`` is the table (word, valence) that rates the adjectives; ``bounds`` are those of all reviews
+    if ``df`` holds only some.
     ``strict`` gives no score to a review without a polar adjective, nor to any review if all
     have equal likes; otherwise the missing part counts 0.
     """
     share = measures.normalised(weights or REVIEW_WEIGHTS)
     if only_features:
         df = project(df, REVIEW_FEATURES)
-    log = measures.log1p(_value(df, "review_likes"))
+    ends = _review_ends(df)
     mood = F.lit(OTHER_SENTIMENT)
     for label, value in SENTIMENT_VALUES.items():
         mood = F.when(F.col("sentiment") == label, value).otherwise(mood)
-    bounded = with_bounds(df, likes=log, time=F.col("review_timestamp"))
+    bounded = with_bounds(df, bounds, **ends)
     scored = _aged(bounded, "review_timestamp", F.col(_BOUNDS)["time_high"], decay).withColumns(
         {
             "S1": measures.rating_unit(_value(df, "review_rating")),
-            "log_likes": log,
-            "L": _scaled(log, "likes", guarded=False),
+            "log_likes": ends["likes"],
+            "L": _scaled(ends["likes"], "likes", guarded=False),
             "S2": mood,
         }
     )
