@@ -89,12 +89,12 @@ def _beginning(word: Column) -> Column:
     return F.substring(word, 1, 3)
 
 
-def nested_words(table: DataFrame) -> DataFrame:
-    """A word table as one row: first letters to a map of the words that begin with them."""
-    maps = table.groupBy(_beginning(F.col("w")).alias("b")).agg(
+def nested_words(table: DataFrame, *keys: str) -> DataFrame:
+    """A word table as one row, or one per ``keys``: first letters to a map of the words that begin with them."""
+    maps = table.groupBy(*keys, _beginning(F.col("w")).alias("b")).agg(
         F.map_from_entries(F.collect_list(F.struct("w", "v"))).alias("words")
     )
-    return maps.agg(F.map_from_entries(F.collect_list(F.struct("b", "words"))).alias("words"))
+    return maps.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("b", "words"))).alias("words"))
 
 
 def nested_lookup(words: Column) -> Lookup:

@@ -81,6 +81,19 @@ def test_joined_lookup_equals_constant(spark, words):
     assert joined == constant
 
 
+def test_only_hits_of_the_word_filter_are_exploded(spark):
+    table = spark.range(500).select(F.concat(F.lit("known"), "id").alias("w"), F.lit(1.0).alias("v"))
+    foreign = " ".join(f"other{i}" for i in range(4000))
+    items = [(1, " ".join(f"Known{i} known{i}" for i in range(500))), (2, foreign), (3, foreign), (4, None), (5, "")]
+    df = spark.createDataFrame(items, "k int, text string")
+    text = F.col("text")
+    found = texts.hit_words(df, text, F.split(text, " "), table, 500).groupBy("_key").agg(F.collect_list("w").alias("w"))
+    words = sorted([sorted(r["w"]) for r in found.collect()], key=lambda w: w[0])
+    assert words[0] == sorted(f"known{i}" for i in range(500))  # none is missed, each comes once
+    assert len(words) == 2 and len(words[1]) < 0.1 * 4000
+    assert len(texts.word_filter(table, texts._slots(500)).first()["bits"]) == 500 * texts.BITS_PER_WORD // 64
+
+
 def test_repeated_and_null_keys(spark, words):
     items = [("a", "good plain words here"), ("a", "bad"), (None, "good"), (None, "bad"), ("b", None), ("c", "good"), ("c", "good")]
     df = spark.createDataFrame(items, "k string, text string")
