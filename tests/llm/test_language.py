@@ -1,5 +1,8 @@
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -63,3 +66,41 @@ def test_query_on_held_out_documents(spark):
     assert all((zlib.crc32(str(i).encode()) % 4 == 2) == h for i, h in zip(rows.doc_id, rows.held_out))
     held = rows[rows.held_out].merge(docs, on="doc_id")
     assert (held.lang_pred == held.lang).mean() > 0.98
+
+
+def test_query_against_plain_cosines(spark):
+    """Letter pairs and triples counted one by one; weights from all training texts; cosines with each centroid as sums."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = docs.select("doc_id", "text", "lang").collect()
+    training = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2 and r["lang"] is not None and r["text"] is not None]
+
+    def plain(text):
+        body = " " + re.sub(r"[\W\d_]+", " ", text.lower()).strip() + " "
+        found = Counter()
+        for size in (2, 3):
+            for at in range(len(body) - size + 1):
+                a, b = ord(body[at]), ord(body[at + 1])
+                value = (a * 0x9E3779B1 + b * 0x85EBCA77) % (1 << 32)
+                if size == 3:
+                    value = (value * 0xC2B2AE3D + ord(body[at + 2]) * 0x27D4EB2F) % (1 << 32)
+                found[((value ^ value >> 15) * 0x2C1B3C6D) % (1 << 32) >> 20] += 1
+        return found
+
+    held = Counter(d for r in training for d in plain(r["text"]))
+    weights = {d: math.log((1 + len(training)) / (1 + held[d])) + 1 for d in range(language.DIMENSIONS)}
+    model = language.train(docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2).select("text", "lang"))
+    np.testing.assert_allclose(model.weights, [weights[d] for d in range(language.DIMENSIONS)], rtol=1e-6)
+    found = {r["doc_id"]: r for r in QUERIES["op10_language"](spark, folder).collect()}
+    assert len(found) == len(rows)
+    for r in rows:
+        if not r["text"] or not any(c.isalpha() for c in r["text"]):
+            assert (found[r["doc_id"]]["lang_pred"], found[r["doc_id"]]["score"]) == ("und", 0)
+            continue
+        vector = {d: math.log1p(n) * weights[d] for d, n in plain(r["text"]).items()}
+        length = math.sqrt(sum(x * x for x in vector.values()))
+        cosines = [sum(x * float(c[d]) for d, x in vector.items()) / length for c in model.centroids]
+        best = max(cosines)
+        assert abs(found[r["doc_id"]]["score"] - best) < 1e-4
+        near = {model.names[i] for i, c in enumerate(cosines) if c > best - 1e-5}
+        assert found[r["doc_id"]]["lang_pred"] in near

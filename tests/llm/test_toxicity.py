@@ -1,4 +1,6 @@
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -67,3 +69,44 @@ def test_query_on_held_out_labels(spark):
     assert all((zlib.crc32(str(i).encode()) % 5 == 0) == h for i, h in zip(rows.doc_id, rows.held_out))
     held = rows[rows.held_out].merge(labels, on="doc_id")
     assert (held.predicted == held.toxic).mean() > 0.9
+
+
+def test_query_against_a_plain_scorer(spark):
+    """Sentence by sentence and word by word, a sum of weights, one minus the product of one minus each."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    training = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
+    model = toxicity.train(docs, labels, training, "doc_id", "text", "toxic")
+    weight = {}
+
+    def sigmoid(z, bound):
+        return 1 / (1 + math.exp(-min(max(z, -bound), bound)))
+
+    def plain(text):
+        clean = 1.0
+        for sentence in re.split(r"[.!?\n]+", text or ""):
+            words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), sentence))
+            for word in words:
+                if word not in weight:
+                    parts = [(0, word.encode())] + [(n, word.encode()[:n]) for n in (4, 5, 6) if len(word.encode()) > n]
+                    weight[word] = sum(float(model.weights[feature(n, part)]) for n, part in parts)
+            if words:
+                clean *= 1 - sigmoid(model.bias + sum(weight[w] for w in words), 30)
+        score = min(max(1 - clean, 1e-9), 1 - 1e-9)
+        return sigmoid(model.slope * math.log(score / (1 - score)) + model.shift, 40)
+
+    def feature(size, data):
+        """Polynomial over the bytes modulo 2^64, the length or the kind of beginning added, mixed; its upper 22 bits."""
+        value = sum((byte + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, byte in enumerate(data))
+        value = (value + (len(data) if not size else (1 << 32) + size)) % (1 << 64)
+        for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            value = (value ^ value >> 33) * factor % (1 << 64)
+        return (value ^ value >> 33) >> 42
+
+    rows = {r["doc_id"]: r for r in QUERIES["op8_toxicity"](spark, folder).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    assert rows.keys() == texts.keys() and np.flatnonzero(model.weights).size
+    for i, text in texts.items():
+        assert abs(rows[i]["score"] - plain(text)) < 1e-4, (i, rows[i]["score"], plain(text))
+        assert rows[i]["predicted"] == (rows[i]["score"] >= 0.5)
+    assert len({round(r["score"], 3) for r in rows.values()}) > 2
