@@ -140,3 +140,27 @@ def test_hot_keys_as_text_and_numbers(spark):
     a = spark.range(50).select(versioned.bucket_of(["id"], 7).alias("b")).collect()
     b = spark.range(50).selectExpr("cast(id as int) as id").select(versioned.bucket_of(["id"], 7).alias("b")).collect()
     assert a == b and {r.b for r in a} == set(range(7))
+
+
+def test_buckets_by_rows_and_bytes(spark, tmp_path):
+    """Long texts and many short rows both call for more buckets, as a bucket is the work of one task."""
+    texts = spark.range(40).selectExpr("cast(id as string) as k", "repeat('x', 1000000) as t")
+    upsert.upsert_buckets(spark, texts, str(tmp_path / "a"), upsert.BY_ID, "k")
+    assert versioned.version(spark, str(tmp_path / "a")).buckets == 3
+    versioned.replace(table(spark, 120_000), str(tmp_path / "b"), ["k"])
+    assert versioned.version(spark, str(tmp_path / "b")).buckets == 3
+    odd = spark.sql("SELECT '1' AS k, CAST(NULL AS STRING) AS t, array(1, 2) AS a, struct(1 AS x) AS s, current_date() AS d")
+    assert versioned.buckets_for(odd) == 1 and versioned.buckets_for(odd.limit(0)) == 1
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+@pytest.mark.parametrize("strategy, column", [(upsert.BY_ID, None), (upsert.BY_ID_AND_MODIFICATION, "m")])
+def test_a_merge_adds_one_file_to_a_bucket(spark, tmp_path, monkeypatch, strategy, column, most):
+    """However many tasks hold the batch, and whether its keys are broadcast or not."""
+    monkeypatch.setattr(upsert, "BROADCAST_KEYS", most)
+    path = str(tmp_path / "t")
+    upsert.upsert_buckets(spark, table(spark, 400), path, strategy, "k", column, buckets=4)
+    batch = files.replace_table(table(spark, 400, 300).repartition(6), str(tmp_path / "batch"))
+    merged = upsert.upsert_buckets(spark, batch, path, strategy, "k", column, new_unique=strategy == upsert.BY_ID)
+    assert content(merged) == sorted((str(i), i) for i in range(700))
+    assert all(len(names) <= 2 for names in files_of(spark, path).values())
