@@ -97,6 +97,16 @@ def test_split_file_reads_as_a_whole_one(spark, tmp_path, ends):
     assert [[r.id, r.text or ""] for r in got] == rows
 
 
+def test_a_record_is_parsed_once(spark, tmp_path):
+    """Not once for each of its columns."""
+    (tmp_path / "wide.csv").write_text('a,b,c,d\n1,"x\ny",2,"p ""q"" r"\n')
+    for escape in ('"', None):
+        rows = files.read_csv(spark, str(tmp_path / "wide.csv"), escape=escape)
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert 1 <= plan.count("from_csv(") <= 4  # by either way of quoting, for records of one line and of several
+        assert [tuple(r) for r in rows.collect()] == [("1", "x\ny", "2", 'p "q" r')]
+
+
 def test_headers_of_several_files(spark, tmp_path):
     for name, text in (("a", "id,x\n1,p\n"), ("b", "\ufeffx,y,id\nq,r,2\n"), ("c", "id,x\n3,s\n")):
         (tmp_path / f"{name}.csv").write_text(text)
