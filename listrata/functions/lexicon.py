@@ -6,7 +6,6 @@ is read: no token leaves its row and no text is shuffled.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Mapping
 from functools import reduce
 from operator import and_, or_
@@ -104,7 +103,7 @@ def nested_lookup(words: Column) -> Lookup:
 
 def _split(text: Column) -> Column:
     """Words as the published rating splits them: at white space, marks stripped from longer words."""
-    return F.filter(F.split(F.regexp_replace(text, MARKED_WORD, "$1"), f"[{SPACE}]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.regexp_replace(text, MARKED_WORD, "$1"), f"[{SPACE}]+"), "")
 
 
 def tokens(text: Column) -> Column:
@@ -126,7 +125,8 @@ def _rated(
     """Valence of the word at a position after its capitals, what stands around it, and "but".
 
     ``text`` has the lists ``words``, in lower case, and ``parts``, as written; ``loud`` says
-    whether capitals count, ``phrases`` whether the text has any idiom or booster of several words. Each step goes on from the value of the step before.
+    whether capitals count, ``phrases`` whether the text has the longest word of any idiom or booster of several
+    words, without which it has none of them. Each step goes on from the value of the step before.
     """
 
     def word(i: Column) -> Column:
@@ -218,18 +218,19 @@ def compound(text: Column, valence: Lookup, idioms: Mapping[str, float] = IDIOMS
     question marks.
     """
 
-    several = "|".join(map(re.escape, [*idioms, *(w for w in WEAKER if " " in w)]))
+    phrases = [*idioms, *(w for w in WEAKER if " " in w)]
+    rarest = sorted({max(phrase.split(), key=len) for phrase in phrases if phrase.split()})
 
     def total(t: Column, valences: Column) -> Column:
         places = F.sequence(F.lit(0), F.size(valences))
         hits = F.filter(places, lambda i: F.get(valences, i).isNotNull())
-        shouted = F.size(
-            F.filter(t["parts"], lambda p, i: (p != F.get(t["words"], i)) & (p == F.upper(p)))
-        )
+        def shouted(p: Column) -> Column:
+            return (p == F.upper(p)) & (p != F.lower(p))
+
         context = F.struct(
-            ((shouted > 0) & (shouted < F.size(valences))).alias("loud"),
+            (F.exists(t["parts"], shouted) & F.exists(t["parts"], lambda p: ~shouted(p))).alias("loud"),
             F.coalesce(F.array_position(t["words"], "but"), F.lit(0)).alias("but"),
-            F.array_join(t["words"], " ").rlike(several).alias("phrases"),
+            F.arrays_overlap(t["words"], F.array(*map(F.lit, rarest))).alias("phrases"),
         )
 
         def added(c: Column) -> Column:

@@ -50,17 +50,15 @@ def _may_hold(bits: Column, word: Column, slots: int) -> Column:
 def hit_words(df: DataFrame, text: Column, items: Column, table: DataFrame, words: int) -> DataFrame:
     """(_key, w): of each distinct text the distinct words that may be in a table of so many ``words``.
 
-    The filter of the table meets the texts where they are read: what it rules out is neither exploded nor
-    shuffled. ``_key`` is a hash of the text.
+    The filter of the table meets the words in the task that reads the text: what it rules out is not shuffled.
+    The words are rows there, as compiled code tests these much faster than the items of an array. ``_key`` is a
+    hash of the text.
     """
     slots = _slots(words)
     lowered = F.array_distinct(F.transform(items, F.lower))
-    filtered = df.withColumn(_FILTER, word_filter(table, slots).scalar()).select(
-        F.sha2(text.cast("string"), 256).alias("_key"),
-        F.filter(lowered, lambda w: _may_hold(F.col(_FILTER), w, slots)).alias("_hits"),
-    )
-    distinct = filtered.where(F.size("_hits") > 0).groupBy("_key").agg(F.first("_hits").alias("_hits"))
-    return distinct.select("_key", F.explode("_hits").alias("w"))
+    each = df.select(F.sha2(text.cast("string"), 256).alias("_key"), F.explode(lowered).alias("w"))
+    found = each.withColumn(_FILTER, word_filter(table, slots).scalar()).where(_may_hold(F.col(_FILTER), F.col("w"), slots))
+    return found.select("_key", "w").distinct()
 
 
 def with_lookup(

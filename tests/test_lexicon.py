@@ -156,3 +156,13 @@ def test_word_table_is_a_constant(spark, words):
     df = spark.createDataFrame([(1, "good")], "k int, text string").repartition(2)
     plan = texts.add_sentiment(df, "text", words)._jdf.queryExecution().optimizedPlan().toString()
     assert "from_json" not in plan and "Join" not in plan
+
+
+def test_the_word_filter_meets_rows(spark, words):
+    """Not the items of an array inside a lambda, and phrases are found without a pattern over the whole text."""
+    df = spark.createDataFrame([(1, "Kind of good, just enough!")], "k int, text string")
+    frame = texts.add_sentiment(df, "text", words, most_bytes=0)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(array_distinct(" in plan and "getbit" in plan.split("Generate explode(array_distinct(")[0]
+    assert "RLIKE" not in plan.upper()
+    assert frame.first().sentiment == "Positive"
