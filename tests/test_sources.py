@@ -97,6 +97,20 @@ def test_split_file_reads_as_a_whole_one(spark, tmp_path, ends):
     assert [[r.id, r.text or ""] for r in got] == rows
 
 
+def test_parts_of_a_block_read_as_the_block(spark, tmp_path, monkeypatch):
+    """Lines are put in order by runs of a few, not by whole blocks, whatever the files and blocks are."""
+    monkeypatch.setattr(records, "_PART_BITS", 1)
+    (tmp_path / "a.csv").write_text("\n\n\n" + MIXED, newline="")
+    (tmp_path / "b.csv").write_text("more,id\n\n" + "".join(f'"x\n\n""{i}"" ,y\n",{i}\n' for i in range(9)), newline="")
+    got = files.read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], escape=None, row_order=True)
+    widths = [r.n for r in records._told(records.lines(spark, [str(tmp_path / "b.csv")]), '"', False).groupBy("block", "part").count().selectExpr("count AS n").collect()]
+    assert max(widths) == 2
+    rows = got.orderBy(files.ROW_ORDER).collect()
+    assert [r.id for r in rows] == [str(i) for i in [*range(1, 10), *range(9)]]
+    assert [r.text for r in rows][3:5] == ['two\nlines "doubled", and\nthree', 'two\nlines "escaped", "and\nthree']
+    assert [r.more for r in rows][9:] == [f'x\n\n"{i}" ,y\n' for i in range(9)]
+
+
 def test_a_record_is_parsed_once(spark, tmp_path):
     """Not once for each of its columns."""
     (tmp_path / "wide.csv").write_text('a,b,c,d\n1,"x\ny",2,"p ""q"" r"\n')
